@@ -1,0 +1,23 @@
+"""Broadcasting behind a check of size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The small frames of a feed hold a table name and a few numbers or an LSN per row, about 60
+# bytes, so this is some megabytes.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_few(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``frame`` marked for broadcast if it has at most ``rows`` rows, else as it is.
+
+    At most ``rows + 1`` rows reach the driver, and a small frame is evaluated only once. A
+    larger one is left to Spark's own join choice, with adaptive execution to split a key that
+    is too large for one task.
+    """
+    head = frame.limit(rows + 1).collect()
+    if len(head) > rows:
+        return frame
+    return F.broadcast(frame.sparkSession.createDataFrame(head, frame.schema))
