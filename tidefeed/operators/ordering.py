@@ -54,9 +54,11 @@ def with_position(feed: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     spark = feed.sparkSession
     folder = new_folder(spark, "ordered")
-    numbered = in_order(feed, partitions=partitions)
-    numbered.withColumn("_slot", F.monotonically_increasing_id()).write.parquet(folder)
-    rows = spark.read.parquet(folder).withColumn("_range", F.shiftright("_slot", ROW_BITS))
+    ordered = in_order(feed, partitions=partitions)
+    numbered = ordered.withColumn("_slot", F.monotonically_increasing_id())
+    numbered.write.parquet(folder)
+    rows = spark.read.schema(numbered.schema).parquet(folder)
+    rows = rows.withColumn("_range", F.shiftright("_slot", ROW_BITS))
 
     ranges = rows.groupBy("table_name", "_range").agg(
         F.min("_slot").alias("_first"), F.count(F.lit(1)).alias("_rows")

@@ -140,7 +140,7 @@ def _steps(
     folder = new_folder(spark, "slices")
     sliced = by_range(feed, group, partitions).withColumn("_slice", F.spark_partition_id())
     sliced.write.partitionBy("_slice").parquet(folder)
-    rows = spark.read.parquet(folder)
+    rows = spark.read.schema(sliced.schema).parquet(folder)
 
     key = F.struct(*group)
     ends = rows.groupBy("_slice").agg(F.min(key).alias("head"), F.max(key).alias("tail"))
@@ -244,6 +244,8 @@ def kafka_sink(options: Mapping[str, str], key: str = "table_name") -> Sink:
 def event_hub_options(connection_string: str, topic: str | None = None) -> dict[str, str]:
     """Kafka options for the Kafka endpoint of an Event Hubs connection string."""
     parts = dict(part.split("=", 1) for part in connection_string.strip(";").split(";"))
+    if not (topic or "EntityPath" in parts):
+        raise ValueError("the connection string names no hub; give its topic")
     host = parts["Endpoint"].removeprefix("sb://").strip("/")
     login = "org.apache.kafka.common.security.plain.PlainLoginModule"
     return {
