@@ -243,6 +243,17 @@ def test_rows_that_arrive_during_a_poll_wait_for_the_next(site):
     assert sorted(site.seen()) == [("a", i) for i in range(1, 9)]
 
 
+def test_a_source_may_tell_how_far_it_goes(site):
+    site.add("a", numbers(1, 20))
+    site.add("b", numbers(1, 5))
+    publisher = sink("publisher", publisher=Recorder(site.out))
+    tables = site.batches("a", "b")
+    told = {"a": lsn(12), "b": None}
+    assert poll(site.spark, tables, publisher, site.offsets, "q", 0, told) == {"a": lsn(12)}
+    assert poll(site.spark, tables, publisher, site.offsets, "q", 1, told) == {}
+    assert sorted(site.seen()) == [("a", i) for i in range(1, 13)]
+
+
 def test_a_failed_poll_saves_nothing(site):
     site.add("a", numbers(1, 20))
     with pytest.raises(Exception, match="no connection"):

@@ -1,11 +1,12 @@
 """Where change tables come from: files, catalog tables, databases over JDBC."""
 
 from tidefeed.sources.files import read_changes, stream_changes
-from tidefeed.sources.jdbc import cut_points_query, jdbc_changes, slice_predicates
+from tidefeed.sources.jdbc import cut_points_query, jdbc_changes, jdbc_newest, slice_predicates
 
 __all__ = [
     "cut_points_query",
     "jdbc_changes",
+    "jdbc_newest",
     "read_changes",
     "slice_predicates",
     "stream_changes",

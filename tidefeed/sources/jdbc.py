@@ -40,9 +40,9 @@ def cut_points_query(
         "SELECT lsn, seqval FROM ("
         f'SELECT "{LSN}" AS lsn, "{SEQVAL}" AS seqval, '
         f'ROW_NUMBER() OVER (ORDER BY "{LSN}", "{SEQVAL}") AS place, '
-        "COUNT(*) OVER () AS total "
+        "SUM(CAST(1 AS BIGINT)) OVER () AS total "
         f'FROM {change_table} WHERE "{LSN}" > {literal(after)}{upper}) numbered '
-        f"WHERE place < total AND place % ((total + {slices - 1}) / {slices}) = 0"
+        f"WHERE place < total AND (place * {slices}) % total < {slices}"
     )
 
 
@@ -81,6 +81,19 @@ def slice_predicates(
     return [" AND ".join([*wanted, *a, *b]) for a, b in zip(lower, upper)]
 
 
+def jdbc_newest(
+    spark: SparkSession,
+    url: str,
+    change_table: str,
+    properties: Mapping[str, str] | None = None,
+) -> bytes | None:
+    """The newest LSN of a change table, looked up by the database; none if it is empty."""
+    query = f'SELECT MAX("{LSN}") AS newest FROM {change_table}'
+    options = {**(properties or {}), "url": url, "query": query}
+    newest = spark.read.format("jdbc").options(**options).load().first()[0]
+    return None if newest is None else bytes(newest)
+
+
 def jdbc_changes(
     spark: SparkSession,
     url: str,

@@ -73,24 +73,29 @@ def poll(
     offsets_path: str,
     query_id: str,
     batch_id: int,
+    newest: Mapping[str, bytes | None] | None = None,
     **envelope_options,
 ) -> dict[str, bytes]:
     """One look at batch change tables: publish what is newer than the saved positions, then
     save the new ones. Returns the new positions, of the tables that had changes.
 
-    The LSN columns are read first, for the upper ends, so that rows which arrive meanwhile
-    wait for the next look and are not skipped. Both reads push the LSN range into the scan.
+    The newest LSNs are read first, as upper ends, so that rows which arrive meanwhile wait for
+    the next look and are not skipped. They come from the LSN columns, or are given as
+    ``newest`` where the source can tell, as ``jdbc_newest`` does. Both reads push the LSN range
+    into the scan.
     """
     saved = last_lsns(read_offsets(spark, offsets_path), tables)
-    found = progress(tables, saved).filter("changes_found").collect()  # at most one per table
-    if not found:
+    if newest is None:
+        marks = progress(tables, saved).collect()  # one per table
+        newest = {row.table_name: bytes(row.high_water) for row in marks}
+    reached = {name: lsn for name, lsn in newest.items() if lsn and lsn > saved[name]}
+    if not reached:
         return {}
-    newest = {row.table_name: bytes(row.high_water) for row in found}
-    fresh = {name: tables[name] for name in newest}
-    feed = change_feed(fresh, saved, newest, **envelope_options)
+    fresh = {name: tables[name] for name in reached}
+    feed = change_feed(fresh, saved, reached, **envelope_options)
     sink(feed, Batch(query_id, batch_id))
-    save_offsets(spark, newest, offsets_path, query_id, batch_id)
-    return newest
+    save_offsets(spark, reached, offsets_path, query_id, batch_id)
+    return reached
 
 
 def start_polling(
@@ -101,17 +106,20 @@ def start_polling(
     checkpoint: str,
     interval: str = "5 seconds",
     query_name: str | None = None,
+    newest: Callable[[], Mapping[str, bytes | None]] | None = None,
     **envelope_options,
 ) -> StreamingQuery:
     """``poll`` every ``interval``, for sources that Spark reads but does not stream, such as a
-    database table. ``tables`` is called for each look, so new files and columns are seen.
+    database table. ``tables`` is called for each look, so new files and columns are seen, and
+    so is ``newest`` if given.
 
     A one-row-per-second stream only supplies the beat and the batch ids.
     """
 
     def look(beat: DataFrame, batch_id: int) -> None:
         query_id = beat.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        poll(spark, tables(), sink, offsets_path, query_id, batch_id, **envelope_options)
+        reached = None if newest is None else newest()
+        poll(spark, tables(), sink, offsets_path, query_id, batch_id, reached, **envelope_options)
 
     beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     writer = beat.writeStream.foreachBatch(look).option("checkpointLocation", checkpoint)
