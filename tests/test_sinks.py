@@ -21,7 +21,7 @@ def test_console_publisher_prints_the_line(capsys):
 
 
 def test_publish_hands_over_every_message_and_reports_marks(spark, tmp_path):
-    marks = publish(skewed_feed(spark), Recorder(tmp_path), epoch_id=3)
+    marks = publish(skewed_feed(spark), Recorder(tmp_path), epoch_id=3, order=None)
     assert marks == {"big": lsn(858), "a": lsn(6), "z": lsn(6)}
     messages = recorded(tmp_path)
     assert len(messages) == 6080
@@ -66,7 +66,7 @@ def test_publishing_in_row_key_order(spark, tmp_path):
 
 def test_steps_hold_every_row_once_and_each_group_in_order(spark):
     feed = skewed_feed(spark, big=3000, small=5)
-    steps = list(sinks._steps(feed, ["table_name"], 6))
+    steps = list(sinks.in_steps(feed, ["table_name"], 6))
     assert len(steps) > 3
     ids = [first_id for first_id, _ in steps]
     assert all(b - a >= 6 for a, b in zip(ids, ids[1:]))
@@ -75,8 +75,8 @@ def test_steps_hold_every_row_once_and_each_group_in_order(spark):
 
 def test_publishing_nothing(spark, tmp_path):
     feed = change_feed({"t": change_frame(spark, [])})
+    assert publish(feed, Recorder(tmp_path), order=None) == {}
     assert publish(feed, Recorder(tmp_path)) == {}
-    assert publish(feed, Recorder(tmp_path), order=["table_name"]) == {}
 
 
 def test_a_failing_publisher_is_closed_and_fails_the_job(spark, tmp_path):
@@ -116,6 +116,30 @@ def test_parquet_sink_replays_over_its_own_output(spark, tmp_path, tables):
     }
 
 
+def test_a_writer_gets_each_table_in_order_step_by_step(spark, tmp_path):
+    out = str(tmp_path / "out")
+    steps = []
+
+    def write(feed, batch):
+        taken = feed.withColumn("step", F.lit(len(steps))).withColumn(
+            "place", F.monotonically_increasing_id()
+        )
+        taken.write.mode("append").parquet(out)
+        steps.append(batch)
+
+    batch = Batch("ordered", 0, ("big", "a", "z"))
+    write_in_order = sinks.writer_sink(write, ["table_name"], 5)
+    marks = write_in_order(skewed_feed(spark), batch)
+    assert marks == {"big": lsn(858), "a": lsn(6), "z": lsn(6)}
+    assert len(steps) > 3
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 6080
+    for table in ("big", "a", "z"):
+        mine = sorted((r for r in rows if r.table_name == table), key=lambda r: (r.step, r.place))
+        lsns = [(bytes(r.lsn), bytes(r.seqval)) for r in mine]
+        assert lsns == sorted(lsns)
+
+
 def test_kafka_records(spark):
     records = sinks.kafka_frame(small_feed(spark)).collect()
     assert len(records) == 7

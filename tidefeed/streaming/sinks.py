@@ -10,17 +10,16 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefeed.operators.broadcast import broadcast_if_few
 from tidefeed.operators.ordering import LOG_ORDER, by_range
-from tidefeed.workspace import new_folder
+from tidefeed.workspace import new_folder, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +28,9 @@ OBSERVED_TABLES = 64
 
 CONSOLE_PREFIX = "ConsolePublisher: "
 
+# What a feed promises unless told otherwise: each table's messages in log order.
+PER_TABLE = ("table_name",)
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -71,22 +73,16 @@ def publish(
     feed: DataFrame,
     publisher: Publisher,
     epoch_id: int = 0,
-    order: Sequence[str] | None = None,
+    order: Sequence[str] | None = PER_TABLE,
     partitions: int | None = None,
+    folder: str | None = None,
 ) -> dict[str, bytes]:
     """Hand every message of a feed to ``publisher``, and return the newest LSN per table.
 
-    Without ``order`` the tasks work side by side on the feed's own partitions, with no shuffle.
-    ``order=["table_name"]`` keeps each table in log order, ``order=["table_name", "row_key"]``
-    each row key of it. A group's log order is then cut into slices, each for one task, and a
-    later slice is published in a later step: only what must wait waits, and no task gets a
-    whole large table. ``partitions`` sets the number of slices, by default the session's
-    number of shuffle partitions.
+    ``order``, ``partitions`` and ``folder`` are those of ``in_steps``.
     """
-    if order is None:
-        return _publish_step(feed, publisher, epoch_id)
     newest: dict[str, bytes] = {}
-    for first_id, step in _steps(feed, list(order), partitions):
+    for first_id, step in in_steps(feed, order, partitions, folder):
         _keep_newest(newest, _publish_step(step, publisher, epoch_id, first_id))
     return newest
 
@@ -127,78 +123,123 @@ def _publish_step(
     return {row.table_name: bytes(row.lsn) for row in rows}
 
 
-def _steps(
-    feed: DataFrame, group: list[str], partitions: int | None
+def in_steps(
+    feed: DataFrame,
+    order: Sequence[str] | None = PER_TABLE,
+    partitions: int | None = None,
+    folder: str | None = None,
 ) -> Iterator[tuple[int, DataFrame]]:
-    """The feed as successive frames, each with one task per slice and its rows in order.
+    """The feed as frames to be published one after the other, each by tasks side by side.
+
+    ``("table_name",)`` keeps each table in log order, ``("table_name", "row_key")`` each row
+    key of it. The log order is cut into slices, each for one task, and a slice that continues
+    a group comes in the step after the slice before it: only what must wait waits, and no task
+    gets a whole large table. ``partitions`` sets the number of slices, by default the session's
+    number of shuffle partitions; ``folder`` is where they are laid out, overwriting what an
+    earlier batch left. With ``None`` for ``order`` the feed is one frame as it is, with no
+    shuffle.
 
-    Slices are contiguous ranges, so only a slice's first group (its head) can have begun in an
-    earlier slice. A head that does comes one step after the slice before it; everything else
-    is in the first step. With each frame goes a partition number that no other frame reaches.
+    With each frame goes a partition number that no earlier frame reaches.
     """
+    if order is None:
+        yield 0, feed
+        return
+    group = list(order)
     spark = feed.sparkSession
-    folder = new_folder(spark, "slices")
+    folder = folder or new_folder(spark, "slices")
     sliced = by_range(feed, group, partitions).withColumn("_slice", F.spark_partition_id())
-    sliced.write.partitionBy("_slice").parquet(folder)
+    sliced.write.mode("overwrite").partitionBy("_slice").parquet(folder)
+    # Slices are contiguous ranges, so only a slice's first group, its head, can have begun in
+    # an earlier slice. Everything else is in the first step.
     rows = spark.read.schema(sliced.schema).parquet(folder)
 
     key = F.struct(*group)
     ends = rows.groupBy("_slice").agg(F.min(key).alias("head"), F.max(key).alias("tail"))
-    steps: dict[int, list[int]] = {0: []}
-    heads, step, before = [], 0, None
+    every: list[int] = []
+    later: dict[int, list[int]] = {}
+    layout, step, before = [], 0, None
     for end in ends.orderBy("_slice").collect():  # one row per slice
         if before is None or before.tail != end.head:
             step = 0
         else:
             step = step + 1 if before.head == before.tail else 1
-        if step:
-            steps.setdefault(step, []).append(end["_slice"])
-        steps[0].append(end["_slice"])
-        heads.append((end["_slice"], step, *end.head))
+        number = end["_slice"]
+        members = later.setdefault(step, []) if step else []
+        layout.append((number, step, len(every), len(members), end.head))
+        members.append(number)
+        every.append(number)
         before = end
+    if not layout:
+        return
 
-    head_columns = [f"_head_{i}" for i in range(len(group))]
-    head_types = [feed.schema[name].dataType.simpleString() for name in group]
-    head_schema = "_slice INT, _step INT" + "".join(
-        f", {name} {kind}" for name, kind in zip(head_columns, head_types)
-    )
-    is_head = reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(group, head_columns)))
-    in_step = F.when(is_head, F.col("_step")).otherwise(0)
-    small = broadcast_if_few(spark.createDataFrame(heads, head_schema))
-    for number, slices in sorted(steps.items()):
-        chosen = rows.filter(F.col("_slice").isin(slices)).join(small, "_slice")
-        chosen = chosen.filter(in_step == number)
-        place = F.array_position(F.array(*map(F.lit, slices)), F.col("_slice")) - 1
-        placed = chosen.repartitionById(len(slices), place.cast("int"))
-        ordered = placed.sortWithinPartitions(*group, *LOG_ORDER, "_tie")
-        yield number * len(heads), ordered.select(*feed.columns)
+    numbers = ("_slice", "_step", "_first_place", "_later_place")
+    schema = T.StructType([T.StructField(name, T.IntegerType()) for name in numbers])
+    schema.add(ends.schema["head"])
+    slices = broadcast_if_few(spark.createDataFrame(layout, schema))
+    goes_on = (F.col("_step") > 0) & key.eqNullSafe(F.col("head"))
+    in_order = (*group, *LOG_ORDER, "_tie")
+
+    first = rows.join(slices, "_slice").filter(~goes_on)
+    placed = first.repartitionById(len(every), "_first_place")
+    yield 0, placed.sortWithinPartitions(*in_order).select(*feed.columns)
+    for step, members in sorted(later.items()):
+        there = rows.filter(F.col("_slice").isin(members))
+        going_on = there.join(slices, "_slice").filter(goes_on)
+        placed = going_on.repartitionById(len(members), "_later_place")
+        yield step * len(every), placed.sortWithinPartitions(*in_order).select(*feed.columns)
+
+
+def _slices_of(feed: DataFrame, batch: Batch) -> str:
+    """One folder per query, so that a feed that runs for years keeps one batch of slices."""
+    return f"{shared_folder(feed.sparkSession)}/tidefeed/slices-{batch.query_id}"
 
 
 def publisher_sink(
-    publisher: Publisher, order: Sequence[str] | None = None, partitions: int | None = None
+    publisher: Publisher,
+    order: Sequence[str] | None = PER_TABLE,
+    partitions: int | None = None,
 ) -> Sink:
-    return lambda feed, batch: publish(feed, publisher, batch.batch_id, order, partitions)
+    def run(feed: DataFrame, batch: Batch) -> Mapping[str, bytes]:
+        folder = _slices_of(feed, batch)
+        return publish(feed, publisher, batch.batch_id, order, partitions, folder)
 
+    return run
 
-def writer_sink(write: Callable[[DataFrame, Batch], None]) -> Sink:
-    """A sink from a function that writes the whole feed with one DataFrame write."""
+
+def writer_sink(
+    write: Callable[[DataFrame, Batch], None],
+    order: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> Sink:
+    """A sink from a function that writes a whole frame with one DataFrame write."""
 
     def run(feed: DataFrame, batch: Batch) -> Mapping[str, bytes] | None:
-        if not 0 < len(batch.tables) <= OBSERVED_TABLES:
-            write(feed, batch)
-            return None
-        seen = Observation()
-        newest = [
-            F.max(F.when(F.col("table_name") == table, F.col("lsn"))).alias(f"t{i}")
-            for i, table in enumerate(batch.tables)
-        ]
-        write(feed.observe(seen, *newest), batch)
-        found = [seen.get[f"t{i}"] for i in range(len(batch.tables))]
-        return {t: bytes(lsn) for t, lsn in zip(batch.tables, found) if lsn is not None}
+        observed = 0 < len(batch.tables) <= OBSERVED_TABLES
+        newest: dict[str, bytes] = {}
+        for _, step in in_steps(feed, order, partitions, _slices_of(feed, batch)):
+            if observed:
+                _keep_newest(newest, _observed_write(write, step, batch))
+            else:
+                write(step, batch)
+        return newest if observed else None
 
     return run
 
 
+def _observed_write(
+    write: Callable[[DataFrame, Batch], None], feed: DataFrame, batch: Batch
+) -> dict[str, bytes]:
+    """Write, and learn the newest LSN per table from the rows that go by."""
+    seen = Observation()
+    newest = [
+        F.max(F.when(F.col("table_name") == table, F.col("lsn"))).alias(f"t{i}")
+        for i, table in enumerate(batch.tables)
+    ]
+    write(feed.observe(seen, *newest), batch)
+    found = [seen.get[f"t{i}"] for i in range(len(batch.tables))]
+    return {t: bytes(lsn) for t, lsn in zip(batch.tables, found) if lsn is not None}
+
+
 def parquet_sink(path: str) -> Sink:
     """Files under ``query_id=.../batch_id=.../table_name=...``; a replay overwrites its own."""
 
@@ -228,7 +269,12 @@ def kafka_frame(feed: DataFrame, key: str = "table_name") -> DataFrame:
     )
 
 
-def kafka_sink(options: Mapping[str, str], key: str = "table_name") -> Sink:
+def kafka_sink(
+    options: Mapping[str, str],
+    key: str = "table_name",
+    order: Sequence[str] | None = PER_TABLE,
+    partitions: int | None = None,
+) -> Sink:
     """A Kafka topic. Messages of one ``key`` share a Kafka partition, so with the default a
     table's messages do; a finer key such as ``row_key`` spreads a large table."""
     missing = {"kafka.bootstrap.servers", "topic"} - set(options)
@@ -238,7 +284,7 @@ def kafka_sink(options: Mapping[str, str], key: str = "table_name") -> Sink:
     def write(feed: DataFrame, batch: Batch) -> None:
         kafka_frame(feed, key).write.format("kafka").options(**options).save()
 
-    return writer_sink(write)
+    return writer_sink(write, order, partitions)
 
 
 def event_hub_options(connection_string: str, topic: str | None = None) -> dict[str, str]:
@@ -263,7 +309,7 @@ def sink(
     kind: str | None = None,
     connection_string: str | None = None,
     publisher: Publisher | None = None,
-    order: Sequence[str] | None = None,
+    order: Sequence[str] | None = PER_TABLE,
     partitions: int | None = None,
     key: str = "table_name",
     path: str | None = None,
@@ -275,7 +321,8 @@ def sink(
     ``parquet`` needs ``path``; ``kafka`` needs ``options``; ``publisher`` needs ``publisher``.
     ``EventHub`` and ``ServiceBus`` need ``connection_string``: the first is written through its
     Kafka endpoint, the second has no Spark sink and needs a ``publisher`` as well. Any other
-    name, or none, is the console.
+    name, or none, is the console. ``order`` and ``partitions`` are those of ``in_steps``; files
+    need no order, because their rows carry the log position.
     """
     if kind in ("EventHub", "ServiceBus") and not connection_string:
         raise ValueError(f"{kind} needs a connection string")
@@ -284,9 +331,10 @@ def sink(
             raise ValueError(f"{kind} needs a publisher")
         return publisher_sink(publisher, order, partitions)
     if kind == "EventHub":
-        return kafka_sink({**event_hub_options(connection_string, topic), **(options or {})}, key)
+        hub = event_hub_options(connection_string, topic)
+        return kafka_sink({**hub, **(options or {})}, key, order, partitions)
     if kind == "kafka":
-        return kafka_sink(options or {}, key)
+        return kafka_sink(options or {}, key, order, partitions)
     if kind == "parquet":
         if not path:
             raise ValueError("parquet needs a path")
