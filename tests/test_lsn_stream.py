@@ -1,0 +1,112 @@
+"""The stream whose position is an LSN."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import Recorder, change, lsn
+from test_streaming import NOW, Site, numbers
+from tidefeed import sink, start_feed
+from tidefeed.sources import stream_changes_by_lsn
+from tidefeed.sources.lsn_stream import LsnReader
+
+
+@pytest.fixture
+def site(spark, tmp_path):
+    return Site(spark, tmp_path)
+
+
+def run(site, after=lsn(0), **options):
+    path = str(site.folder / "a")
+    stream = stream_changes_by_lsn(site.spark, path, after=after, **options)
+    target = sink("publisher", publisher=Recorder(site.out))
+    place = str(site.folder / "checkpoint")
+    start_feed({"a": stream}, target, place, site.offsets, trigger=NOW).awaitTermination()
+
+
+def ids(site):
+    return sorted(id for _, id in site.seen())
+
+
+def test_runs_read_all_then_what_is_new_then_nothing(site):
+    site.add("a", numbers(1, 20))
+    run(site)
+    assert ids(site) == list(range(1, 21))
+    site.add("a", numbers(21, 26))
+    run(site)
+    run(site)
+    assert ids(site) == list(range(1, 27))
+    assert site.positions("a") == {"a": lsn(26)}
+
+
+def test_late_rows_at_or_below_the_position_are_never_read(site):
+    site.add("a", numbers(10, 20))
+    run(site)
+    late = [change(20, 99, 2, 99), change(5, 1, 2, 98), change(None, 1, 2, 96), change(21, 1, 2, 97)]
+    site.add("a", late)
+    run(site)
+    assert ids(site) == [*range(10, 21), 97]
+
+
+def test_unordered_files_and_a_starting_position(site):
+    for first, last in ((0x81, 0x90), (0x70, 0x80), (0x7A, 0x85)):
+        site.add("a", numbers(first, last))
+    run(site, after=lsn(0x7F))
+    assert ids(site) == sorted([*range(0x81, 0x91), 0x80, *range(0x80, 0x86)])
+
+
+def test_a_new_column_is_null_where_a_file_has_none(site):
+    site.add("a", numbers(1, 3))
+    path = str(site.folder / "a")
+    schema = site.spark.read.parquet(path).withColumn("extra", F.lit("x")).schema
+    stream = stream_changes_by_lsn(site.spark, path, schema)
+    query = stream.writeStream.format("memory").queryName("by_lsn").trigger(**NOW).start()
+    query.awaitTermination()
+    rows = site.spark.table("by_lsn").collect()
+    assert [row.extra for row in rows] == [None] * 3
+    batch = site.spark.read.parquet(path)
+    assert sorted(site.spark.table("by_lsn").drop("extra").collect()) == sorted(batch.collect())
+
+
+def test_tasks_skip_row_groups_and_pack_small_ones(spark, tmp_path):
+    path = str(tmp_path / "changes")
+    rows = spark.range(0, 200_000, 1, 1).select(
+        F.unhex(F.lpad(F.hex("id"), 20, "0")).alias("__$start_lsn"),
+        F.lit(2).alias("__$operation"),
+        "id",
+    )
+    rows.write.option("parquet.block.size", 1 << 18).parquet(path)
+    reader = LsnReader(rows.schema, {"path": path, "taskbytes": str(1 << 20)})
+    assert reader.latestOffset() == {"lsn": lsn(199_999).hex()}
+    start, end = {"lsn": lsn(50_000).hex()}, {"lsn": lsn(100_000).hex()}
+    every = [g for task in reader.partitions(reader.initialOffset(), reader.latestOffset()) for g in task.groups]
+    tasks = reader.partitions(start, end)
+    groups = [group for task in tasks for group in task.groups]
+    assert 0 < len(groups) < len(every) / 2
+    assert 1 < len(tasks) < len(groups)
+    found = [id for task in tasks for batch in reader.read(task) for id in batch.column("id").to_pylist()]
+    assert sorted(found) == list(range(50_001, 100_001))
+    assert reader.partitions(end, start) == [] or all(
+        batch.num_rows == 0 for task in reader.partitions(end, start) for batch in reader.read(task)
+    )
+
+
+def test_footers_are_read_once(spark, tmp_path, monkeypatch):
+    from tidefeed.sources import lsn_stream
+
+    path = str(tmp_path / "changes")
+    rows = spark.sql("SELECT X'00000000000000000005' AS `__$start_lsn`, 2 AS `__$operation`")
+    rows.write.parquet(path)
+    opened = []
+    inner = lsn_stream._row_groups
+    monkeypatch.setattr(lsn_stream, "_row_groups", lambda s, p: opened.append(p) or inner(s, p))
+    reader = LsnReader(rows.schema, {"path": path})
+    for _ in range(3):
+        assert reader.latestOffset() == {"lsn": lsn(5).hex()}
+    rows.write.mode("append").parquet(path)
+    reader.latestOffset()
+    assert len(opened) == 2
+
+
+def test_an_empty_folder_has_the_starting_position(spark, tmp_path):
+    reader = LsnReader(None, {"path": str(tmp_path), "after": lsn(3).hex()})
+    assert reader.latestOffset() == reader.initialOffset() == {"lsn": lsn(3).hex()}

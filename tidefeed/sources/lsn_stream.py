@@ -1,0 +1,178 @@
+"""A stream of parquet change files whose position is an LSN, not a list of files.
+
+Each batch is the rows with ``start < LSN <= end``, whichever files hold them, and ``end`` is
+the newest LSN there is; a row that arrives at or below a committed end is never read. The
+checkpoint owns the position, and a repeated batch has the same bounds.
+
+The driver reads parquet footers, each once: the bounds of every row group are in them. Tasks
+read row groups as Arrow batches. Where the files are many and old, ``stream_changes`` or
+``start_polling`` read the same rows without Python.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
+
+from tidefeed.functions.lsn import ZERO_LSN
+from tidefeed.operators.changes import LSN
+
+SOURCE_NAME = "lsn_changes"
+FOOTER_THREADS = 32
+BATCH_ROWS = 10_000
+
+
+@dataclass(frozen=True)
+class RowGroup:
+    path: str
+    number: int
+    size: int
+    oldest: bytes
+    newest: bytes
+
+
+@dataclass
+class LsnRange(InputPartition):
+    """Row groups for one task, and the LSN range wanted of them."""
+
+    groups: list[RowGroup]
+    start: bytes
+    end: bytes
+
+
+def _hidden(path: str, base: str) -> bool:
+    """Spark's rule: temporary and metadata files have a part that starts with _ or a dot."""
+    return any(part.startswith(("_", ".")) for part in path[len(base) :].split("/"))
+
+
+def _row_groups(system: fs.FileSystem, path: str) -> list[RowGroup]:
+    with system.open_input_file(path) as source:
+        file = pq.ParquetFile(source)
+        column = file.schema_arrow.names.index(LSN)
+        found = []
+        for number in range(file.num_row_groups):
+            meta = file.metadata.row_group(number)
+            stats = meta.column(column).statistics
+            if stats is not None and stats.has_min_max:
+                bounds = (stats.min, stats.max)
+            else:  # no bounds in the footer: read the one column
+                lsns = file.read_row_group(number, columns=[LSN]).column(0)
+                values = pc.min_max(lsns)
+                bounds = (values["min"].as_py(), values["max"].as_py())
+            if bounds[1] is not None:
+                found.append(RowGroup(path, number, meta.total_byte_size, *bounds))
+        return found
+
+
+class LsnReader(DataSourceStreamReader):
+    def __init__(self, schema: StructType, options: dict[str, str]):
+        self.schema = schema
+        self.path = options["path"]
+        self.after = bytes.fromhex(options.get("after") or ZERO_LSN.hex())
+        self.task_bytes = int(options.get("taskbytes") or 128 << 20)
+        self.known: dict[tuple, list[RowGroup]] = {}
+
+    def initialOffset(self) -> dict:
+        return {"lsn": self.after.hex()}
+
+    def latestOffset(self) -> dict:
+        newest = max((group.newest for group in self._groups()), default=self.after)
+        return {"lsn": max(newest, self.after).hex()}
+
+    def partitions(self, start: dict, end: dict) -> list[LsnRange]:
+        low, high = bytes.fromhex(start["lsn"]), bytes.fromhex(end["lsn"])
+        tasks: list[LsnRange] = []
+        room = 0
+        for group in self._groups():
+            if group.newest <= low or group.oldest > high:
+                continue
+            if room < group.size or not tasks:
+                tasks.append(LsnRange([], low, high))
+                room = self.task_bytes
+            tasks[-1].groups.append(group)
+            room -= group.size
+        self.after = max(self.after, low)  # the position does not fall if files are removed
+        return tasks
+
+    def read(self, partition: LsnRange) -> Iterator[pa.RecordBatch]:
+        wanted = to_arrow_schema(self.schema)
+        system, _ = fs.FileSystem.from_uri(self.path)
+        for group in partition.groups:
+            inside = partition.start < group.oldest and group.newest <= partition.end
+            with system.open_input_file(group.path) as source:
+                file = pq.ParquetFile(source)
+                names = [n for n in wanted.names if n in file.schema_arrow.names]
+                for batch in file.iter_batches(BATCH_ROWS, [group.number], columns=names):
+                    lsns = batch.column(names.index(LSN))
+                    keep = lsns.is_valid()
+                    if not inside:
+                        keep = pc.and_(pc.greater(lsns, partition.start), keep)
+                        keep = pc.and_(pc.less_equal(lsns, partition.end), keep)
+                    rows = batch.filter(keep)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            rows.column(names.index(field.name)).cast(field.type)
+                            if field.name in names
+                            else pa.nulls(rows.num_rows, field.type)
+                            for field in wanted
+                        ],
+                        schema=wanted,
+                    )
+
+    def _groups(self) -> list[RowGroup]:
+        """The row groups of all files there are; only files not seen before are opened."""
+        system, base = fs.FileSystem.from_uri(self.path)
+        files = {
+            (info.path, info.size, info.mtime_ns): info.path
+            for info in system.get_file_info(fs.FileSelector(base, recursive=True))
+            if info.is_file and not _hidden(info.path, base)
+        }
+        fresh = {key: path for key, path in files.items() if key not in self.known}
+        with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+            read = pool.map(lambda path: _row_groups(system, path), fresh.values())
+            self.known.update(zip(fresh, read))
+        self.known = {key: self.known[key] for key in files}
+        return [group for groups in self.known.values() for group in groups]
+
+
+class LsnChanges(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return SOURCE_NAME
+
+    def streamReader(self, schema: StructType) -> LsnReader:
+        return LsnReader(schema, dict(self.options))
+
+
+def stream_changes_by_lsn(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    after: bytes = ZERO_LSN,
+    task_bytes: int | None = None,
+) -> DataFrame:
+    """A folder of parquet change files as a stream of what is newer than ``after``.
+
+    ``path`` is absolute or a URI. A task reads about ``task_bytes``, 128 MB by default.
+    """
+    spark.dataSource.register(LsnChanges)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    # Nullable throughout, as for Spark's own files: a file may lack a column.
+    schema = StructType([StructField(f.name, f.dataType) for f in schema])
+    reader = spark.readStream.format(SOURCE_NAME).schema(schema).option("after", after.hex())
+    if task_bytes is not None:
+        reader = reader.option("taskbytes", task_bytes)
+    return reader.load(path)
