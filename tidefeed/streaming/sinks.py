@@ -92,6 +92,14 @@ def _keep_newest(newest: dict[str, bytes], found: Mapping[str, bytes]) -> None:
         newest[table] = max(lsn, newest.get(table, lsn))
 
 
+def _values(column: pa.Array) -> list:
+    """A column as Python values. Text and bytes take the way through NumPy, which is about
+    twenty times as fast as making an Arrow scalar of each value."""
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
 def _publish_step(
     feed: DataFrame, publisher: Publisher, epoch_id: int, first_id: int = 0
 ) -> dict[str, bytes]:
@@ -103,11 +111,14 @@ def _publish_step(
         wanted = publisher.open(first_id + TaskContext.get().partitionId(), epoch_id)
         try:
             for batch in batches:
-                for message in batch.to_pylist():
-                    if wanted:
-                        publisher.process(Row(**message))
-                    if message["lsn"] is not None:
-                        _keep_newest(newest, {message["table_name"]: message["lsn"]})
+                columns = {n: _values(c) for n, c in zip(batch.schema.names, batch.columns)}
+                if wanted:
+                    message = Row(*columns)
+                    for values in zip(*columns.values()):
+                        publisher.process(message(*values))
+                for table, lsn in zip(columns["table_name"], columns["lsn"]):
+                    if lsn is not None and lsn > newest.get(table, b""):
+                        newest[table] = lsn
         except BaseException as error:
             failure = error
             raise
