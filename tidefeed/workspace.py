@@ -9,19 +9,19 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """What the session names in ``spark.checkpoint.dir``.
+    """What the session names in ``spark.checkpoint.dir``, or has set as checkpoint folder.
 
-    Unset, it is set to a temporary folder in local mode and refused on a cluster, where a
+    If there is none, local mode gets a temporary folder. A cluster is refused, because a
     folder of one machine would not do.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tidefeed-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidefeed-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
