@@ -55,12 +55,32 @@ def test_save_is_an_upsert_that_replays_and_never_goes_back(spark, tmp_path):
     save_offsets(spark, {"a": lsn(9)}, path, "q", 1)
     assert saved(read_offsets(spark, path)) == {"a": lsn(9), "b": lsn(7)}
     save_offsets(spark, {"a": lsn(9)}, path, "q", 1)
-    assert spark.read.parquet(path).count() == 3
+    assert spark.read.parquet(path).count() == 4
     save_offsets(spark, {"a": lsn(2)}, path, "fresh checkpoint", 0)
     save_offsets(spark, {"c": lsn(0x80)}, path, "fresh checkpoint", 1)
     assert saved(read_offsets(spark, path)) == {"a": lsn(9), "b": lsn(7), "c": lsn(0x80)}
 
 
+def test_the_store_does_not_grow_with_batches(spark, tmp_path):
+    path = tmp_path / "offsets"
+    for batch in range(7):
+        save_offsets(spark, {f"t{batch}": lsn(batch + 1)}, str(path), "q", batch)
+    assert sorted(leaf.name for leaf in (path / "query_id=q").iterdir()) == ["slot=0", "slot=1"]
+    assert saved(read_offsets(spark, str(path))) == {f"t{i}": lsn(i + 1) for i in range(7)}
+
+
+def test_a_batch_that_died_while_saving_leaves_the_positions_before_it(spark, tmp_path):
+    path = tmp_path / "offsets"
+    for batch in range(3):
+        save_offsets(spark, {"a": lsn(batch + 1), "b": lsn(9)}, str(path), "q", batch)
+    # Batch 3 goes to slot 1, and dies when it has emptied it.
+    for file in (path / "query_id=q" / "slot=1").iterdir():
+        file.unlink()
+    assert saved(read_offsets(spark, str(path))) == {"a": lsn(3), "b": lsn(9)}
+    save_offsets(spark, {"a": lsn(4)}, str(path), "q", 3)
+    assert saved(read_offsets(spark, str(path))) == {"a": lsn(4), "b": lsn(9)}
+
+
 def test_time_goes_with_the_newest_position(spark):
     rows = "VALUES ('a', X'02', TIMESTAMP '2024-01-01'), ('a', X'03', TIMESTAMP '2023-01-01')"
     frame = spark.sql(f"SELECT * FROM {rows} AS t(table_name, last_lsn, updated_at)")

@@ -11,12 +11,12 @@ from rows import FailsOnce, Recorder, change, change_frame, lsn, recorded
 from test_ordering import skewed_feed
 from tidefeed import change_feed
 from tidefeed.operators import envelopes
-from tidefeed.streaming import Batch, ConsolePublisher, publish, sink
+from tidefeed.streaming import Batch, ConsolePrinter, publish, sink
 from tidefeed.streaming import sinks
 
 
 def test_console_publisher_prints_the_line(capsys):
-    ConsolePublisher().process(Row(table_name="t", event_type="ChangeDetected", message="{}"))
+    ConsolePrinter().process(Row(table_name="t", event_type="ChangeDetected", message="{}"))
     assert capsys.readouterr().out == "ConsolePublisher: [ChangeDetected] t: {}\n"
 
 

@@ -2,10 +2,10 @@
 
 from tidefeed.plans.feed import change_feed, mixed_feed_since
 from tidefeed.streaming.feed import poll, start_feed, start_polling
-from tidefeed.streaming.sinks import ConsolePublisher, Publisher, publish, sink
+from tidefeed.streaming.sinks import ConsolePrinter, Publisher, publish, sink
 
 __all__ = [
-    "ConsolePublisher",
+    "ConsolePrinter",
     "Publisher",
     "change_feed",
     "mixed_feed_since",

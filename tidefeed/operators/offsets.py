@@ -1,9 +1,10 @@
 """Saved positions: one LSN per table.
 
-The store is a folder that only grows: each batch writes its own
-``query_id=.../batch_id=...`` leaf and a replayed batch overwrites just that leaf. The
-position of a table is the newest LSN over all leaves, so no batch can move it back, and
-nothing that is being read is ever overwritten.
+The store is a folder with two leaves per query, ``query_id=.../slot=0`` and ``slot=1``. Each
+batch writes all positions of its query to the leaf that the batch before did not write, so a
+failure while writing leaves the other one, a replayed batch overwrites its own, and the store
+does not grow with the number of batches. The position of a table is the newest LSN over all
+leaves: no batch can move it back.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from tidefeed.operators.broadcast import BROADCAST_ROWS, broadcast_if_few
 
 OFFSETS_SCHEMA = "table_name STRING, last_lsn BINARY, updated_at TIMESTAMP"
 
+SLOTS = 2
+
 
 
 def empty_offsets(spark: SparkSession) -> DataFrame:
@@ -44,8 +47,10 @@ def merge_offsets(*offsets: DataFrame) -> DataFrame:
 
 def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     """The saved positions; no rows if nothing was saved yet."""
+    # Another query may replace a leaf of its own meanwhile.
+    reader = spark.read.schema(OFFSETS_SCHEMA).option("ignoreMissingFiles", True)
     try:
-        saved = spark.read.schema(OFFSETS_SCHEMA).parquet(path)
+        saved = reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -58,15 +63,21 @@ def save_offsets(
 ) -> None:
     """Record the positions one batch reached. Saving the same batch again changes nothing.
 
-    ``query_id`` belongs in the key: batch ids start again at zero with a new checkpoint.
+    Batch ids count up within a query. ``query_id`` belongs in the key because they start again
+    at zero with a new checkpoint.
     """
-    leaf = f"{path}/query_id={query_id}/batch_id={batch_id}"
-    offsets_frame(spark, positions).coalesce(1).write.mode("overwrite").parquet(leaf)
+    own = f"{path}/query_id={query_id}"
+    merged = merge_offsets(read_offsets(spark, own), offsets_frame(spark, positions))
+    rows = merged.collect()  # one per table; read before a leaf they came from is overwritten
+    leaf = f"{own}/slot={batch_id % SLOTS}"
+    frame = spark.createDataFrame(rows, OFFSETS_SCHEMA)
+    frame.coalesce(1).write.mode("overwrite").parquet(leaf)
 
 
 def compact_offsets(spark: SparkSession, path: str, target: str) -> None:
-    """Write the present positions as a new store with a single leaf, and leave the old one."""
-    leaf = f"{target}/query_id=compacted/batch_id=0"
+    """Write the present positions as a new store with a single leaf, and leave the old one: for
+    a store that holds leaves of many past queries."""
+    leaf = f"{target}/query_id=compacted/slot=0"
     read_offsets(spark, path).coalesce(1).write.mode("errorifexists").parquet(leaf)
 
 

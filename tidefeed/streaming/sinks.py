@@ -26,6 +26,7 @@ log = logging.getLogger(__name__)
 # Observing one maximum per table is cheaper than a second pass as long as tables are few.
 OBSERVED_TABLES = 64
 
+# Fixed value: what each line on the console starts with.
 CONSOLE_PREFIX = "ConsolePublisher: "
 
 # What a feed promises unless told otherwise: each table's messages in log order.
@@ -62,7 +63,7 @@ class Publisher:
         pass
 
 
-class ConsolePublisher(Publisher):
+class ConsolePrinter(Publisher):
     """Prints each message where its task runs."""
 
     def process(self, row: Row) -> None:
@@ -352,4 +353,4 @@ def sink(
         return parquet_sink(path)
     if kind not in (None, "", "Console", "console"):
         log.warning("no sink is called %r; using the console", kind)
-    return publisher_sink(ConsolePublisher(), order, partitions)
+    return publisher_sink(ConsolePrinter(), order, partitions)
