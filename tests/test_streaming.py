@@ -176,12 +176,51 @@ def test_a_publisher_also_serves_foreach(site):
     assert sorted(site.seen()) == [("a", i) for i in range(1, 21)]
 
 
-def test_console_and_memory_formats_take_the_feed(site):
+@pytest.mark.parametrize("name", ["memory", "console", "noop"])
+def test_builtin_formats_take_the_feed(site, name):
     site.add("a", numbers(1, 20))
     feed = change_feed(site.streams("a"))
-    query = feed.writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
+    writer = feed.writeStream.format(name).queryName(f"seen_{name}")
+    query = writer.option("checkpointLocation", str(site.folder / "cp")).trigger(**NOW).start()
     query.awaitTermination()
-    assert site.spark.table("seen").count() == 20
+    assert query.lastProgress.numInputRows == 20
+    if name == "memory":
+        assert site.spark.table("seen_memory").count() == 20
+
+
+def test_a_restart_picks_up_new_columns(site):
+    site.add("a", numbers(1, 3))
+    publisher = sink("publisher", publisher=Recorder(site.out))
+    site.run(publisher, "a")
+    path = str(site.folder / "a")
+    more = change_frame(site.spark, numbers(4, 6)).withColumn("added", F.lit("later"))
+    more.coalesce(1).write.mode("append").parquet(path)
+    schema = site.spark.read.option("mergeSchema", True).parquet(path).schema
+    site.run(publisher, "a", schema=schema)
+    messages = [json.loads(m["message"]) for m in recorded(site.out)]
+    assert [m["id"] for m in messages] == list(range(1, 7))
+    assert ["added" in m for m in messages] == [False] * 3 + [True] * 3
+
+
+def test_many_tables_and_a_sink_that_does_not_report(site):
+    # Past the number of tables that are observed while writing, positions cost a second pass.
+    from tidefeed.streaming.sinks import OBSERVED_TABLES
+
+    site.add("a", numbers(1, 4))
+    names = [f"t{i}" for i in range(OBSERVED_TABLES + 1)]
+    tables = site.streams("a")
+    feed = change_feed(tables)
+    written = str(site.folder / "written")
+    query = (
+        feed.writeStream.foreachBatch(
+            deliver(sink("parquet", path=written), site.offsets, ("a", *names))
+        )
+        .option("checkpointLocation", str(site.folder / "cp"))
+        .trigger(**NOW)
+        .start()
+    )
+    query.awaitTermination()
+    assert site.positions("a") == {"a": lsn(4)}
 
 
 def test_deliver_without_positions(site):
