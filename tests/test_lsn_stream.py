@@ -78,12 +78,14 @@ def test_tasks_skip_row_groups_and_pack_small_ones(spark, tmp_path):
     reader = LsnReader(rows.schema, {"path": path, "taskbytes": str(1 << 20)})
     assert reader.latestOffset() == {"lsn": lsn(199_999).hex()}
     start, end = {"lsn": lsn(50_000).hex()}, {"lsn": lsn(100_000).hex()}
-    every = [g for task in reader.partitions(reader.initialOffset(), reader.latestOffset()) for g in task.groups]
+    all_tasks = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    every = [group for task in all_tasks for group in task.groups]
     tasks = reader.partitions(start, end)
     groups = [group for task in tasks for group in task.groups]
     assert 0 < len(groups) < len(every) / 2
     assert 1 < len(tasks) < len(groups)
-    found = [id for task in tasks for batch in reader.read(task) for id in batch.column("id").to_pylist()]
+    batches = [batch for task in tasks for batch in reader.read(task)]
+    found = [id for batch in batches for id in batch.column("id").to_pylist()]
     assert sorted(found) == list(range(50_001, 100_001))
     assert reader.partitions(end, start) == [] or all(
         batch.num_rows == 0 for task in reader.partitions(end, start) for batch in reader.read(task)

@@ -27,7 +27,9 @@ def by_range(
     """The feed cut into contiguous ranges of ``group`` and log position, one per partition.
 
     Rows that tie in all of these are in no particular order, so the row's place in its input
-    partition joins the key as ``_tie``: however many copies a row has, they spread too.
+    partition joins the key as ``_tie``: however many copies a row has, they spread too. That
+    place must not change when a lost task is repeated, and over scans it does not; a feed that
+    comes out of a shuffle is better written or checkpointed first.
     """
     spread = feed.withColumn("_tie", F.monotonically_increasing_id())
     keys = [*group, *LOG_ORDER, "_tie"]
