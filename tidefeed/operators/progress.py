@@ -22,14 +22,13 @@ def progress(
     key would be a sort-based aggregate, and without a key it is a plain streaming one.
     """
     saved = last_lsns or {}
+    newest, changes_seen = F.max(quoted(LSN)), F.count(F.lit(1))
     return fan_in(
-        changes_since(changes, saved.get(name))
-        .agg(F.max(quoted(LSN)).alias("newest"), F.count(F.lit(1)).alias("changes"))
-        .select(
+        changes_since(changes, saved.get(name)).agg(
             F.lit(name).alias("table_name"),
-            F.coalesce("newest", lsn_literal(saved.get(name))).alias("high_water"),
-            (F.col("changes") > 0).alias("changes_found"),
-            "changes",
+            F.coalesce(newest, lsn_literal(saved.get(name))).alias("high_water"),
+            (changes_seen > 0).alias("changes_found"),
+            changes_seen.alias("changes"),
         )
         for name, changes in tables.items()
     )
