@@ -208,7 +208,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return fan_in_feed(spark, "/root/testdata/sf0.001")
 
 
+def llm_modules() -> tuple:
+    """The modules that add queries for training text; none where they have been left out."""
+    try:
+        import corpus_pipeline
+        from tidefeed.llm import queries as llm
+    except ImportError as missing:
+        if (missing.name or "") in ("corpus_pipeline", "tidefeed.llm"):
+            return ()
+        raise
+    return (llm, corpus_pipeline)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    added: dict = {}
+    for module in llm_modules():
+        added |= module.queries()
+    return feed_queries() | added
+
+
+def oracle_sql() -> dict[str, str]:
+    added: dict = {}
+    for module in llm_modules():
+        added |= module.oracle_sql()
+    return feed_oracle_sql() | added
+
+
+def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cdc_scan_decode": scan_decode,
         "cdc_columns": columns,
@@ -232,7 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def feed_oracle_sql() -> dict[str, str]:
     events = fx.changes_sql("events")
     feed = fx.feed_sql()
     envelope_columns = ", ".join(ENVELOPE)

@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = contract.feed_queries()
+ORACLES = contract.feed_oracle_sql()
 
 
 @pytest.fixture(scope="module")
