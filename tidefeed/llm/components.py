@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 from tidefeed.llm.shared import staged
 
+#: Links in a file of a step's table, on average.
+LINKS = 500_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component): each linked id with the smallest id it can reach.
 
-    ``links`` has longs a and b. Every step moves links towards smaller ids (first each id's
-    larger neighbours, then all others, to the smallest neighbour) and is written as a table; the
-    steps end when none changes, after about the logarithm of a component's size.
+    ``links`` has longs a and b. Every step moves links towards smaller ids: first each id's
+    larger neighbours, then all others, to the smallest neighbour. It is written as a table. The
+    steps end when what is left are stars, after about the logarithm of a component's size.
     """
     pairs = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     pairs = staged(pairs.distinct(), "links")
-    before = None
+    files = max(1, pairs.count() // LINKS)
     while True:
         both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -34,12 +37,13 @@ def components(links: DataFrame) -> DataFrame:
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
             F.col("m").alias("b"),
         )
-        pairs = staged(small.where("a <> b").distinct(), "links")
-        now = pairs.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if now == before:
+        pairs = staged(small.where("a <> b").distinct().coalesce(files), "links")
+        # stars: every id has one smaller neighbour, or larger ones only
+        sides = pairs.select("a", F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+            pairs.select("b", F.lit(0), F.lit(1))
+        )
+        sides = sides.groupBy("a").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+        if sides.where("down > 1 OR (down = 1 AND up = 1)").isEmpty():
             break
-        before = now
     heads = pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(heads)

@@ -5,8 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidefeed.llm.embedding_dedup import near_duplicates
 from tidefeed.llm.ngram_join import similar_documents
+from tidefeed.llm.packing import pack_documents
+from tidefeed.llm.secret_scan import secrets, written
 from tidefeed.llm.shared import table
+from tidefeed.llm.suffix_dedup import without_repeats
+from tidefeed.llm.topk_search import integers, top_k, whole_vectors
+from tidefeed.llm.toxicity import toxicity
+from tidefeed.llm.url_filters import filter_urls
+
+#: (rule, verdict) of op1.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    judged = filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,9 +36,59 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        for kind, name in enumerate(("assign", "access", "hex"))
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(written("base").cast("binary"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whole_vectors(table(spark, sf_dir, "embeddings"), "embedding").where("vec_id IS NOT NULL")
+    vectors = rows.select(F.col("vec_id").alias("id"), integers("embedding").alias("vector"))
+    return top_k(vectors, vectors.where("id % 20 = 0"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {
+        "op1_url_filters": op1_url_filters,
         "op2_ngram_jaccard": op2_ngram_jaccard,
+        "op3_packing": op3_packing,
+        "op4_toxicity": op4_toxicity,
+        "op5_suffix_dedup": op5_suffix_dedup,
+        "op7_secret_scans": op7_secret_scans,
+        "op8_exact_top_k": op8_exact_top_k,
+        "op9_embedding_dedup": op9_embedding_dedup,
     }
 
 

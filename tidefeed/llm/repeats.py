@@ -1,9 +1,7 @@
 """Which documents are made of shingles that other documents have too.
 
 Only such a document can have a near copy, and telling needs a count of every shingle of the
-corpus. A row for each of them would be costly, so tasks send arrays: a row holds, for one bucket
-of hashes, the shingles of many documents. A bucket is sized by the corpus, holds each shingle
-once per document, and so no frequent shingle makes it large.
+corpus.
 """
 
 from __future__ import annotations
@@ -12,96 +10,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.llm.shared import chunks, flat, lists, utf8
+from tidefeed.llm.exchange import Entries, Outbox, answered, texts
 from tidefeed.llm.shingles import shingles
 
-#: Shingles that a task gathers before it sends them, and that a bucket holds on average.
-GATHERED = 1 << 21
+#: Shingles that a bucket holds on average.
 IN_BUCKET = 3 << 20
-SENT = "bucket long, ids array<long>, versions array<long>, counts array<int>, tokens array<int>"
-
-
-def _sent(ids, versions, sizes, values, buckets: int, own: int) -> Iterator[pa.RecordBatch]:
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    bucket = (values & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets
-    order = np.argsort(bucket, kind="stable")
-    bucket, row = bucket[order], row[order]
-    tokens = (values[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    first = np.ones(len(row), bool)
-    first[1:] = (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])
-    runs = np.flatnonzero(first)
-    lengths = np.diff(np.append(runs, len(row))).astype(np.int32)
-    names, in_bucket = np.unique(bucket[runs], return_counts=True)
-    of_bucket = np.unique(bucket, return_counts=True)[1]
-    # one row more has the size of every document, those without shingles too
-    who = np.concatenate([row[runs], np.arange(len(sizes))])
-    in_bucket = np.append(in_bucket, len(sizes))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.append(names, buckets + own % buckets)),
-            lists(ids[who], in_bucket),
-            lists(versions[who], in_bucket),
-            lists(np.concatenate([lengths, sizes.astype(np.int32)]), in_bucket),
-            lists(tokens, np.append(of_bucket, 0)),
-        ],
-        ["bucket", "ids", "versions", "counts", "tokens"],
-    )
 
 
 def _send(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        own = TaskContext.get().partitionId()
+        out = Outbox(buckets)
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            versions = batch.column("version").to_numpy(zero_copy_only=False)
-            for a, b in chunks(offsets):
-                part = data[offsets[a] : offsets[b]]
-                values, sizes = shingles(part, offsets[a : b + 1] - offsets[a])
-                held.append((ids[a:b], versions[a:b], sizes, values))
-                n += len(values) + len(sizes)
-                if n >= GATHERED:
-                    yield from _sent(*map(np.concatenate, zip(*held, strict=True)), buckets, own)
-                    held, n = [], 0
-        if held:
-            yield from _sent(*map(np.concatenate, zip(*held, strict=True)), buckets, own)
+            for _, _, ids, versions, data, offsets in texts(batch):
+                values, sizes = shingles(data, offsets)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                tokens = (values >> np.uint64(32)).astype(np.uint32)
+                low = values & np.uint64(0xFFFFFFFF)
+                yield from out.add(ids, versions, row, low, tokens=tokens)
+        yield from out.send()
 
     return send
 
 
-def _count(buckets: int):
-    def count(got: pa.Table) -> pa.Table:
-        ids, _ = flat(got.column("ids"))
-        versions, _ = flat(got.column("versions"))
-        counts, _ = flat(got.column("counts"))
-        if got.column("bucket")[0].as_py() >= buckets:
-            n, repeated, some = counts.astype(np.int64), np.zeros(len(ids), np.int64), slice(None)
-        else:
-            tokens, _ = flat(got.column("tokens"))
-            row = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-            both = (tokens.view(np.uint32).astype(np.uint64) << np.uint64(32)) | row
-            both.sort()
-            token = both >> np.uint64(32)
-            same = np.zeros(len(token) + 1, bool)
-            same[1:-1] = token[1:] == token[:-1]
-            again = both[same[1:] | same[:-1]] & np.uint64(0xFFFFFFFF)
-            repeated = np.bincount(again.astype(np.int64), minlength=len(counts))
-            n, some = np.zeros(len(ids), np.int64), repeated > 0
-        return pa.table(
-            {
-                "id": pa.array(ids[some], pa.int64()),
-                "version": pa.array(versions[some], pa.int64()),
-                "n": pa.array(n[some], pa.int64()),
-                "repeated": pa.array(repeated[some], pa.int64()),
-            }
-        )
-
-    return count
+def _count(entries: Entries) -> pa.Table:
+    tokens = entries.values("tokens").view(np.uint32).astype(np.uint64)
+    both = (tokens << np.uint64(32)) | entries.row.astype(np.uint64)
+    both.sort()
+    token = both >> np.uint64(32)
+    same = np.zeros(len(token) + 1, bool)
+    same[1:-1] = token[1:] == token[:-1]
+    again = both[same[1:] | same[:-1]] & np.uint64(0xFFFFFFFF)
+    repeated = np.bincount(again.astype(np.int64), minlength=len(entries.counts))
+    return entries.answer(repeated, np.zeros(0, np.int32))
 
 
 def shingle_repeats(docs: DataFrame) -> DataFrame:
@@ -112,10 +55,7 @@ def shingle_repeats(docs: DataFrame) -> DataFrame:
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // (6 * IN_BUCKET)))
-    sent = docs.mapInArrow(_send(buckets), SENT)
-    counted = sent.groupBy("bucket").applyInArrow(
-        _count(buckets), "id long, version long, n long, repeated long"
-    )
-    return counted.groupBy("id", "version").agg(
-        F.max("n").alias("n"), F.sum("repeated").alias("repeated")
+    found = answered(docs, _send(buckets), _count, buckets)
+    return found.groupBy("id", "version").agg(
+        F.max("n").alias("n"), F.max("count").alias("repeated")
     )
