@@ -139,8 +139,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     asked = staged(_blocks(queries.dropDuplicates(["id"]), QUERIES, "query"), "queries")
     query_blocks = max(1, (asked.agg(F.max("query")).first()[0] or 0) + 1)
     slices = max(1, -(-data.count() // BLOCKS))
-    every_query = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long")
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long")
+    every_query = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
+    every_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))
     part = F.pmod("block", F.lit(slices))
     meeting = data.select(
         "width", every_query.alias("query"), part.alias("part"), F.lit(False).alias("is_query"),
