@@ -24,7 +24,7 @@ GATHERED = 3 << 19
 SENT = (
     "bucket long, parcel long, ids array<long>, versions array<long>, sizes array<int>, "
     "docs array<int>, owners array<long>, counts array<int>, names array<long>, wholes array<long>, "
-    "places array<int>, tokens array<int>"
+    "places array<int>, tokens array<int>, sides array<int>"
 )
 ANSWER = (
     "parcel long, ids array<long>, versions array<long>, sizes array<int>, docs array<int>, "
@@ -32,7 +32,13 @@ ANSWER = (
 )
 FOUND = "id long, version long, n long, count long, marks array<int>"
 
-_KINDS = {"names": pa.int64(), "wholes": pa.int64(), "places": pa.int32(), "tokens": pa.int32()}
+_KINDS = {
+    "names": pa.int64(),
+    "wholes": pa.int64(),
+    "places": pa.int32(),
+    "tokens": pa.int32(),
+    "sides": pa.int32(),
+}
 
 
 class Outbox:

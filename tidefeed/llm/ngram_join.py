@@ -177,7 +177,11 @@ def _links(sets: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, version, n_shingles, component_id) of each distinct document."""
+    """(doc_id, version, n_shingles, component_id, group, rows) of each distinct document.
+
+    ``version`` is ``xxhash64`` of the text, ``group`` names the documents that reach each other
+    (null: alone), and ``rows`` counts the rows of the same id and text.
+    """
     whole = keyed(docs, text)
     stats = staged(shingle_repeats(whole), "repeats")
     suspects = stats.where(f"n > 0 AND repeated * {OF} >= n * {PART}").select("id", "version")
@@ -200,16 +204,15 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     known = all_sets.select("id", "version", "class").join(
         reached.withColumnRenamed("id", "class"), "class", "left"
     )
-    known = known.select("id", "version", F.coalesce("component", "class").alias("c"))
-    least = known.groupBy("c").agg(F.min("id").alias("least"))
-    found = known.join(least, "c").select("id", "version", "least")
-    # texts of one id are one node
-    same = stats.join(found, ["id", "version"], "left").select(
-        "id", "version", "n", F.coalesce("least", "id").alias("least")
-    )
-    return same.select(
+    known = known.select("id", "version", F.coalesce("component", "class").alias("group"))
+    # a class may be some texts of one id
+    least = known.groupBy("group").agg(F.min("id").alias("least"))
+    found = known.join(least, "group")
+    return stats.join(found, ["id", "version"], "left").select(
         real_id("id").alias("doc_id"),
         "version",
         F.col("n").alias("n_shingles"),
-        real_id("least").alias("component_id"),
+        real_id(F.coalesce("least", "id")).alias("component_id"),
+        "group",
+        "rows",
     )

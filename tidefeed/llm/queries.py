@@ -9,8 +9,10 @@ from tidefeed.llm.embedding_dedup import near_duplicates
 from tidefeed.llm.ngram_join import similar_documents
 from tidefeed.llm.packing import pack_documents
 from tidefeed.llm.secret_scan import secrets, written
+from tidefeed.llm.sentencepiece_codec import decoded, encoded
 from tidefeed.llm.shared import table
 from tidefeed.llm.suffix_dedup import without_repeats
+from tidefeed.llm.token_counts import line_tokens
 from tidefeed.llm.topk_search import integers, top_k, whole_vectors
 from tidefeed.llm.toxicity import toxicity
 from tidefeed.llm.url_filters import filter_urls
@@ -41,7 +43,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(table(spark, sf_dir, "documents"))
     counts = [
@@ -79,6 +86,17 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text's ids, as a digest, and the text that they decode to, as a digest."""
+    rows = decoded(encoded(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_url_filters": op1_url_filters,
@@ -86,9 +104,11 @@ def queries() -> dict:
         "op3_packing": op3_packing,
         "op4_toxicity": op4_toxicity,
         "op5_suffix_dedup": op5_suffix_dedup,
+        "op6_token_counts": op6_token_counts,
         "op7_secret_scans": op7_secret_scans,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_embedding_dedup": op9_embedding_dedup,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 

@@ -48,14 +48,14 @@ def _count(entries: Entries) -> pa.Table:
 
 
 def shingle_repeats(docs: DataFrame) -> DataFrame:
-    """(id, version, n, repeated): shingles of each document, and those that others have too.
+    """(id, version, n, repeated, rows): shingles of each document, and those that others have too.
 
     ``docs`` comes from ``keyed``. 32 bits of hash within a bucket decide, so ``repeated`` may be
-    too large by a very few, never too small.
+    too large by a very few, never too small. ``rows`` counts rows of the same id and text.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // (6 * IN_BUCKET)))
     found = answered(docs, _send(buckets), _count, buckets)
     return found.groupBy("id", "version").agg(
-        F.max("n").alias("n"), F.max("count").alias("repeated")
+        F.max("n").alias("n"), F.max("count").alias("repeated"), F.count("*").alias("rows")
     )

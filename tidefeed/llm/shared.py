@@ -43,8 +43,18 @@ def row_id(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 
-def real_id(column: str) -> Column:
-    return F.when(F.col(column) != LAST_ID, F.col(column))
+def real_id(column: str | Column) -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return F.when(column != LAST_ID, column)
+
+
+def same_row(docs: DataFrame, other: DataFrame, text: str = "text") -> Column:
+    """Joins ``docs`` to a table with doc_id and version, null ids and null texts too."""
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    mine = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID))
+    return (mine == F.coalesce(other["doc_id"], F.lit(LAST_ID))) & (
+        F.xxhash64(body) == other["version"]
+    )
 
 
 def keyed(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -8,9 +8,11 @@ times its size in shuffles, so only every string's own anchor goes into the firs
 1. Of the ``Q``-byte strings in a string of ``LENGTH`` bytes, the one with the least hash is its
    anchor. Equal strings have equal anchors at equal places. The strings of a document that share
    an anchor form a block of consecutive starts; there are about 16 starts to a block.
-2. Tasks send each block's anchor bucket and the number of all its bytes, as arrays for many
-   documents. In a bucket, a block whose bytes an earlier document has too is decided as a whole.
-   Other blocks whose bucket an earlier document has are open, and with them what they may equal.
+2. Tasks send each block's anchor and the number of all its bytes, as arrays for many documents.
+   An anchor's bucket is refined by the bytes at later and at earlier offsets: a string goes on for
+   half of its other bytes on one side of the anchor at least. A block whose bytes an earlier
+   document has too is decided as a whole. Other blocks whose refined bucket has an earlier document
+   are open, and with them what they may equal.
 3. Only open blocks are refined to single strings: the numbers of the ``Q``-byte strings at
    offsets 0, Q and LENGTH - Q number the string, and the earliest document of each number keeps
    it. So long copies cost one number a block, and single strings are sent at ends of copies only.
@@ -37,6 +39,8 @@ from tidefeed.llm.exchange import Entries, Outbox, answered, texts
 from tidefeed.llm.shared import Rolling, flat, keyed, lists, mixed, real_id, staged
 
 LENGTH, Q = 50, 20
+#: Of a string's bytes besides its anchor at least so many are on one side of it.
+SIDE = (LENGTH - Q) // 2
 #: Blocks, or strings, that a bucket holds on average.
 IN_BUCKET = 3 << 19
 
@@ -83,6 +87,14 @@ class Strings:
         body = self.rolling.ranges(self.first, self.last + LENGTH)
         return mixed(body + (self.anchor - self.first).astype(np.uint64))
 
+    def sides(self) -> np.ndarray:
+        """16 bits of hash of the anchor with ``SIDE`` bytes on its left, and on its right."""
+        n = self.offsets[-1]
+        left = self.rolling.ranges(np.maximum(self.anchor - SIDE, 0), self.anchor + Q)
+        right = self.rolling.ranges(self.anchor, np.minimum(self.anchor + Q + SIDE, n))
+        high, low = left >> np.uint64(48), right >> np.uint64(48)
+        return ((high << np.uint64(16)) | low).astype(np.uint32)
+
     def strings(self, starts: np.ndarray) -> np.ndarray:
         """The numbers of the strings that start at ``starts``, from those at later offsets."""
         number = self.short[starts]
@@ -105,9 +117,16 @@ def _send_blocks(buckets: int):
         for batch in batches:
             for _, _, ids, versions, data, offsets in texts(batch):
                 s = Strings(data, offsets)
-                names, places = s.names(), s.ordinal.astype(np.int32)
+                names = s.names()
                 yield from out.add(
-                    ids, versions, s.of, names, names=names, wholes=s.wholes(), places=places
+                    ids,
+                    versions,
+                    s.of,
+                    names & np.uint64(0xFFFFFFFF),
+                    tokens=(names >> np.uint64(32)).astype(np.uint32),
+                    wholes=s.wholes(),
+                    sides=s.sides(),
+                    places=s.ordinal.astype(np.int32),
                 )
         yield from out.send()
 
@@ -163,21 +182,34 @@ def _marked(entries: Entries, keep: np.ndarray, marks: np.ndarray) -> pa.Table:
     return entries.answer(counts, marks[np.argsort(row, kind="stable")])
 
 
-def _decide_blocks(entries: Entries) -> pa.Table:
-    """Marks 2 * ordinal of blocks that an earlier document has, 2 * ordinal + 1 of open ones."""
-    names, own = entries.values("names"), _own(entries)
+def _shared(names: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Entries whose name an earlier document has, and those that have it for a later one."""
     least, order, first = _least(names, own)
+    if not len(names):
+        return np.zeros(0, bool)
     ranked = own[order]
     several = np.maximum.reduceat(ranked, first) > np.minimum.reduceat(ranked, first)
-    some = order[np.repeat(several, np.diff(np.append(first, len(names))))]
-    names, own, least = names[some], own[some], least[some]
+    out = np.empty(len(names), bool)
+    out[order] = np.repeat(several, np.diff(np.append(first, len(names))))
+    return out
+
+
+def _decide_blocks(entries: Entries) -> pa.Table:
+    """Marks 2 * ordinal of blocks that an earlier document has, 2 * ordinal + 1 of open ones."""
+    own = _own(entries)
+    anchor = entries.values("tokens").view(np.uint32).astype(np.uint64) << np.uint64(32)
+    some = np.flatnonzero(_shared(anchor, own))
+    # a string goes on for half of its other bytes on one side of its anchor at least
+    sides = entries.values("sides")[some].view(np.uint32).astype(np.uint64)
+    anchor, own = anchor[some], own[some]
+    left = anchor | (sides >> np.uint64(16)) | np.uint64(1 << 31)
+    right = anchor | (sides & np.uint64(0xFFFF))
+    further = _shared(left, own) | _shared(right, own)
+    some, own, left, right = some[further], own[further], left[further], right[further]
     decided = own > _least(entries.values("wholes")[some], own)[0]
-    wanting = (own > least) & ~decided
-    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else some
-    open_ = np.zeros(len(names), bool)
-    if len(names):
-        wanted = np.logical_or.reduceat(wanting, first)
-        open_ = np.repeat(wanted, np.diff(np.append(first, len(names)))) & ~decided
+    # what is undecided and has something earlier beside it, and all that may be equal to that
+    wanting = ~decided & ((own > _least(left, own)[0]) | (own > _least(right, own)[0]))
+    open_ = ~decided & (np.isin(left, left[wanting]) | np.isin(right, right[wanting]))
     keep = decided | open_
     return _marked(entries, some[keep], 2 * entries.values("places")[some[keep]] + open_[keep])
 

@@ -142,9 +142,10 @@ def _counts(lexicon: np.ndarray, of: np.ndarray, called: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, n),
+                        batch.column("version").slice(a, n),
                         *[pa.array(x.astype(np.float32)) for x in out],
                     ],
-                    ["doc_id", *COUNTS],
+                    ["doc_id", "version", *COUNTS],
                 )
 
     return count
@@ -293,8 +294,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row of ``docs``."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    """(doc_id, version, held_out, score, predicted) of each row of ``docs``.
+
+    ``version`` is ``xxhash64`` of the text.
+    """
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64(body).alias("version"), body.alias("text")
+    )
     learnt = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -311,7 +318,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = rows.join(F.broadcast(chosen), "doc_id")  # SAMPLE bounds it
     lexicon, of = _lexicons(sample)
     called = _hash_words(["you", "your", "yours", "du", "dich", "dein", "vous", "toi", "usted"])
-    schema = "doc_id long, " + ", ".join(f"{c} float" for c in COUNTS)
+    schema = "doc_id long, version long, " + ", ".join(f"{c} float" for c in COUNTS)
     counts = staged(rows.mapInArrow(_counts(lexicon, of, np.unique(called)), schema), "counts")
 
     # one row for each pattern of votes, not for each document
@@ -324,7 +331,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     if not len(patterns):
         return counts.select(
-            "doc_id", held_out().alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted")
+            "doc_id",
+            "version",
+            held_out().alias("held_out"),
+            F.lit(0.0).alias("score"),
+            F.lit(0).alias("predicted"),
         )
     model = fit_label_model(*(patterns[c].to_numpy() for c in ("votes", "label", "count")))
 
@@ -345,6 +356,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     score = 1 / (1 + F.exp(-linear))
     return counts.select(
         "doc_id",
+        "version",
         held_out().alias("held_out"),
         score.alias("score"),
         (score >= 0.5).cast("int").alias("predicted"),
