@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidefeed.llm.embedding_dedup import near_duplicates
 from tidefeed.llm.ngram_join import similar_documents
 from tidefeed.llm.packing import pack_documents
-from tidefeed.llm.secret_scan import secrets, written
+from tidefeed.llm.secret_scan import KINDS, secrets, written
 from tidefeed.llm.sentencepiece_codec import decoded, encoded
 from tidefeed.llm.shared import table
 from tidefeed.llm.suffix_dedup import without_repeats
@@ -65,8 +65,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(table(spark, sf_dir, "documents"))
     counts = [
-        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for kind, name in enumerate(("assign", "access", "hex"))
+        F.size(F.filter("base.kind", lambda k: k == KINDS.index(name))).cast("long").alias(f"n_{name}")
+        for name in ("assign", "access", "hex")
     ]
     return found.select(
         "doc_id",

@@ -22,20 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files of finished steps now, not at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged(frame: DataFrame, purpose: str) -> DataFrame:
     """``frame``, written to the shared folder and read again.
 
     What follows survives lost executors, because it starts from files. The shuffle files of what
-    came before are released, so that a job of many steps needs the disk of its largest step.
+    came before are released (before the step too: listeners may have held the last step's plan
+    until now), so that a job of many steps needs the disk of its largest step.
     """
     spark = frame.sparkSession
     folder = new_folder(spark, purpose)
+    release(spark)
     frame.write.parquet(folder)
-    schema = frame.schema
-    del frame
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(folder)
+    release(spark)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def row_id(column: str = "doc_id") -> Column:
