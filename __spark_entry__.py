@@ -6,27 +6,42 @@ Every query runs over whole tables. The change tables are derived from the test
 
 from __future__ import annotations
 
+import json
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyarrow import fs as pa_fs  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures as fx  # noqa: E402
-from tidefeed import change_feed, mixed_feed_since, poll, sink, start_feed  # noqa: E402
+from tidefeed import (  # noqa: E402
+    ConsolePrinter,
+    Publisher,
+    change_feed,
+    mixed_feed_since,
+    poll,
+    publish,
+    sink,
+    start_feed,
+)
 from tidefeed.functions import console_line, format_lsn, operation_type, payload_json  # noqa: E402
 from tidefeed.operators import (  # noqa: E402
     LSN,
     OPERATION,
     changes_since,
+    complete_offsets,
+    create_offsets_table,
     data_columns,
     envelopes,
     fan_in,
     last_lsns,
     merge_offsets,
+    offsets_frame,
     progress,
     read_offsets,
     save_offsets,
@@ -35,6 +50,8 @@ from tidefeed.operators import (  # noqa: E402
     with_record,
 )
 from tidefeed.operators.changes import quoted  # noqa: E402
+from tidefeed.sources import stream_changes  # noqa: E402
+from tidefeed.streaming.sinks import kafka_frame  # noqa: E402
 from tidefeed.workspace import new_folder  # noqa: E402
 
 ENVELOPE = ("table_name", "event_type", "message", "lsn")
@@ -119,10 +136,11 @@ def fan_in_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same feed by a join: one frame that mixes all tables, and the offsets table."""
+    """The same feed from one frame that mixes all tables, and the offsets table."""
     tables = fx.change_tables(spark, sf_dir)
     everything = fan_in(envelopes(changes, name) for name, changes in tables.items())
-    return shown(mixed_feed_since(everything, fx.saved_offsets(spark)), *ENVELOPE)
+    offsets = fx.saved_offsets(spark)
+    return shown(mixed_feed_since(everything, offsets), *ENVELOPE)
 
 
 def console_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,11 +183,31 @@ def offset_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Continuous feeds, run to the end of their input
 
 
-def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published by a streaming feed that is stopped and started again on its checkpoint."""
+def middle(spark: SparkSession, sf_dir: str) -> dict[str, bytes]:
+    """An LSN in the middle of each table's log."""
+    marks = progress(fx.change_tables(spark, sf_dir)).collect()
+    return {
+        row.table_name: (int.from_bytes(row.high_water) // 2).to_bytes(10)
+        for row in marks
+    }
+
+
+def arrives(spark: SparkSession, sf_dir: str, folder: str, newer: bool) -> None:
+    """One of the two portions of every table's changes arrives in ``folder``."""
+    for table, lsn in middle(spark, sf_dir).items():
+        is_newer = quoted(LSN) > F.lit(lsn)
+        changes = fx.change_table(spark, sf_dir, table)
+        portion = changes.where(is_newer if newer else ~is_newer)
+        portion.write.mode("append").parquet(f"{folder}/{table}")
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a streaming feed that is stopped and started again on its checkpoint. The
+    newer portion of the changes arrives before the first run, the older one before the second."""
     folder = new_folder(spark, "stream")
-    for _ in range(2):
-        tables = {t: fx.change_stream(spark, sf_dir, t) for t in fx.FEED_TABLES}
+    for newer in (True, False):
+        arrives(spark, sf_dir, f"{folder}/changes", newer)
+        tables = {t: stream_changes(spark, f"{folder}/changes/{t}") for t in fx.FEED_TABLES}
         query = start_feed(
             tables,
             sink("parquet", path=f"{folder}/published"),
@@ -179,18 +217,32 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
             trigger={"availableNow": True},
         )
         query.awaitTermination()
-    return shown(spark.read.parquet(f"{folder}/published"), *ENVELOPE)
+    complete_offsets(spark, f"{folder}/offsets", query.id)
+    return folder
 
 
-def polled(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of two looks at the change tables, the second of which finds nothing new."""
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(spark.read.parquet(f"{streamed(spark, sf_dir)}/published"), *ENVELOPE)
+
+
+def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions that the stream has completed when both portions are through."""
+    saved = read_offsets(spark, f"{streamed(spark, sf_dir)}/offsets")
+    return shown(saved, "table_name", "last_lsn")
+
+
+def polled(spark: SparkSession, sf_dir: str, idle: bool = False) -> str:
+    """The folder of two looks at the change tables, the second of which finds the newer half of
+    each log; with ``idle`` a look that finds nothing new stands between."""
     folder = new_folder(spark, "polled")
     offsets = f"{folder}/offsets"
-    save_offsets(spark, fx.SAVED, offsets, "start", 0)
-    for batch_id in range(2):
+    save_offsets(spark, fx.SAVED, offsets, "start")
+    half = middle(spark, sf_dir)
+    looks = [half, half, None] if idle else [half, None]
+    for batch_id, newest in enumerate(looks):
         tables = fx.change_tables(spark, sf_dir)
         published = sink("parquet", path=f"{folder}/published")
-        poll(spark, tables, published, offsets, "looks", batch_id)
+        poll(spark, tables, published, offsets, "looks", batch_id, newest)
     return folder
 
 
@@ -203,6 +255,74 @@ def poll_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(saved, "table_name", "last_lsn")
 
 
+def offsets_after_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    saved = read_offsets(spark, f"{polled(spark, sf_dir, idle=True)}/offsets")
+    return shown(saved, "table_name", "last_lsn")
+
+
+def offsets_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of offsets, created twice, that holds the position each table reached."""
+    name = f"cdc_offsets_{uuid.uuid4().hex}"
+    for _ in range(2):
+        create_offsets_table(spark, name)
+    try:
+        marks = progress(fx.change_tables(spark, sf_dir), saved_positions(spark))
+        reached = marks.select("table_name", F.col("high_water").alias("last_lsn"), F.now().alias("at"))
+        reached.write.insertInto(name)
+        found = last_lsns(spark.table(name), fx.FEED_TABLES)  # one per table
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return shown(offsets_frame(spark, found), "table_name", "last_lsn")
+
+
+# Sinks
+
+
+class ToFolder(Publisher):
+    """Writes what it is given to a file of its own in a folder that all executors reach."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def open(self, partition_id: int, epoch_id: int) -> bool:
+        system, path = pa_fs.FileSystem.from_uri(self.folder)
+        system.create_dir(path)
+        self.file = system.open_output_stream(f"{path}/{partition_id}-{uuid.uuid4().hex}.json")
+        return True
+
+    def process(self, row) -> None:
+        record = {name: getattr(row, name) for name in ENVELOPE[:3]} | {"lsn": row.lsn.hex()}
+        record["line"] = ConsolePrinter.line(row)
+        self.file.write(json.dumps(record).encode() + b"\n")
+
+    def close(self, error: BaseException | None) -> None:
+        self.file.close()
+
+
+def handed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "handed-over")
+    publish(feed_of(spark, sf_dir), ToFolder(folder if ":" in folder else f"file://{folder}"))
+    schema = ", ".join(f"{name} STRING" for name in (*ENVELOPE, "line"))
+    return spark.read.schema(schema).json(folder)
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user's publisher got."""
+    got = handed_over(spark, sf_dir)
+    return got.withColumn("lsn", F.concat(F.lit("0x"), F.upper("lsn"))).select(*ENVELOPE)
+
+
+def console_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the console's publisher."""
+    return handed_over(spark, sf_dir).select("line")
+
+
+def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headers = F.transform("headers", lambda h: F.concat_ws("=", h["key"], F.hex(h["value"])))
+    records = kafka_frame(feed_of(spark, sf_dir))
+    return records.select("key", "value", F.array_join(headers, ";").alias("headers"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: every table's new changes as one feed of JSON envelopes."""
     return fan_in_feed(spark, "/root/testdata/sf0.001")
@@ -255,6 +375,12 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdc_stream_resume": stream_resume,
         "cdc_poll_resume": poll_resume,
         "cdc_poll_offsets": poll_offsets,
+        "cdc_stream_offsets": stream_offsets,
+        "cdc_offsets_after_idle": offsets_after_idle,
+        "cdc_offsets_create": offsets_create,
+        "cdc_publish": published,
+        "cdc_console_sink": console_sink,
+        "cdc_bus_records": bus_records,
     }
 
 
@@ -320,4 +446,18 @@ def feed_oracle_sql() -> dict[str, str]:
         "cdc_stream_resume": whole,
         "cdc_poll_resume": whole,
         "cdc_poll_offsets": f"SELECT table_name, lsn AS last_lsn FROM ({reached})",
+        "cdc_stream_offsets": f"SELECT table_name, newest AS last_lsn FROM ({new})",
+        "cdc_offsets_after_idle": f"SELECT table_name, lsn AS last_lsn FROM ({reached})",
+        "cdc_offsets_create": f"SELECT table_name, lsn AS last_lsn FROM ({reached})",
+        "cdc_publish": whole,
+        "cdc_console_sink": (
+            "SELECT 'ConsolePublisher: [' || event_type || '] ' || table_name || ': ' || message "
+            f"AS line FROM ({feed})"
+        ),
+        "cdc_bus_records": (
+            "SELECT table_name AS key, message AS value, concat_ws(';', "
+            "'table_name=' || hex(table_name), 'event_type=' || hex(event_type), "
+            "'lsn=' || lsn[3:], 'seqval=' || seqval[3:], "
+            f"'operation=' || hex(CAST(operation AS VARCHAR))) AS headers FROM ({feed})"
+        ),
     }

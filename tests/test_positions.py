@@ -2,14 +2,15 @@
 
 import pytest
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, UnsupportedOperationException
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from rows import change, change_frame, lsn
 from tidefeed import change_feed, mixed_feed_since
-from tidefeed.functions import ZERO_LSN
+from tidefeed.functions import ZERO_LSN, lsn_number, lsn_of_number
 from tidefeed.operators import (
     compact_offsets,
+    complete_offsets,
     create_offsets_table,
     empty_offsets,
     envelopes,
@@ -21,6 +22,7 @@ from tidefeed.operators import (
     offsets_frame,
     progress,
     read_offsets,
+    reset_offset,
     save_offsets,
     with_last_lsn,
 )
@@ -51,33 +53,70 @@ def test_positions_default_to_zero(spark):
 
 def test_save_is_an_upsert_that_replays_and_never_goes_back(spark, tmp_path):
     path = str(tmp_path / "offsets")
-    save_offsets(spark, {"a": lsn(5), "b": lsn(7)}, path, "q", 0)
-    save_offsets(spark, {"a": lsn(9)}, path, "q", 1)
+    save_offsets(spark, {"a": lsn(5), "b": lsn(7)}, path, "q")
+    save_offsets(spark, {"a": lsn(9)}, path, "q")
     assert saved(read_offsets(spark, path)) == {"a": lsn(9), "b": lsn(7)}
-    save_offsets(spark, {"a": lsn(9)}, path, "q", 1)
+    save_offsets(spark, {"a": lsn(9)}, path, "q")
     assert spark.read.parquet(path).count() == 4
-    save_offsets(spark, {"a": lsn(2)}, path, "fresh checkpoint", 0)
-    save_offsets(spark, {"c": lsn(0x80)}, path, "fresh checkpoint", 1)
+    save_offsets(spark, {"a": lsn(2)}, path, "fresh checkpoint")
+    save_offsets(spark, {"c": lsn(0x80)}, path, "fresh checkpoint")
     assert saved(read_offsets(spark, path)) == {"a": lsn(9), "b": lsn(7), "c": lsn(0x80)}
 
 
 def test_the_store_does_not_grow_with_batches(spark, tmp_path):
     path = tmp_path / "offsets"
     for batch in range(7):
-        save_offsets(spark, {f"t{batch}": lsn(batch + 1)}, str(path), "q", batch)
+        save_offsets(spark, {f"t{batch}": lsn(batch + 1)}, str(path), "q")
     assert sorted(leaf.name for leaf in (path / "query_id=q").iterdir()) == ["slot=0", "slot=1"]
     assert saved(read_offsets(spark, str(path))) == {f"t{i}": lsn(i + 1) for i in range(7)}
 
 
+def older_leaf(spark, path):
+    leaves = spark.read.parquet(str(path)).groupBy("slot").agg(F.max("save").alias("save"))
+    return leaves.orderBy("save").first().slot
+
+
+def test_batches_that_save_nothing_between_do_not_endanger_the_newest_save(spark, tmp_path):
+    path = tmp_path / "offsets"
+    # Batches 0 and 2 save, batch 1 has no changes and saves nothing.
+    save_offsets(spark, {"a": lsn(1)}, str(path), "q")
+    save_offsets(spark, {"a": lsn(2)}, str(path), "q")
+    assert len(list((path / "query_id=q").iterdir())) == 2
+    for file in (path / "query_id=q" / f"slot={older_leaf(spark, path)}").iterdir():
+        file.unlink()
+    assert saved(read_offsets(spark, str(path))) == {"a": lsn(2)}
+
+
+def test_what_was_seen_is_not_where_to_read_on(spark, tmp_path):
+    path = str(tmp_path / "offsets")
+    save_offsets(spark, {"a": lsn(5)}, path, "q")
+    save_offsets(spark, {"a": lsn(9)}, path, "q", complete=False)
+    assert saved(read_offsets(spark, path)) == {"a": lsn(5)}
+    assert saved(read_offsets(spark, path, complete=False)) == {"a": lsn(9)}
+    complete_offsets(spark, path, "q")
+    assert saved(read_offsets(spark, path)) == {"a": lsn(9)}
+
+
+def test_a_position_goes_back_only_when_it_is_reset(spark, tmp_path):
+    path = str(tmp_path / "offsets")
+    save_offsets(spark, {"a": lsn(50), "b": lsn(7)}, path, "q")
+    reset_offset(spark, path, "a", lsn(3))
+    assert saved(read_offsets(spark, path)) == {"a": lsn(3), "b": lsn(7)}
+    save_offsets(spark, {"a": lsn(8)}, path, "q")
+    assert saved(read_offsets(spark, path)) == {"a": lsn(8), "b": lsn(7)}
+    reset_offset(spark, path, "b")
+    assert saved(read_offsets(spark, path)) == {"a": lsn(8), "b": ZERO_LSN}
+
+
 def test_a_batch_that_died_while_saving_leaves_the_positions_before_it(spark, tmp_path):
     path = tmp_path / "offsets"
     for batch in range(3):
-        save_offsets(spark, {"a": lsn(batch + 1), "b": lsn(9)}, str(path), "q", batch)
-    # Batch 3 goes to slot 1, and dies when it has emptied it.
-    for file in (path / "query_id=q" / "slot=1").iterdir():
+        save_offsets(spark, {"a": lsn(batch + 1), "b": lsn(9)}, str(path), "q")
+    # The next save goes to the leaf that does not hold the newest, and dies when it has emptied it.
+    for file in (path / "query_id=q" / f"slot={older_leaf(spark, path)}").iterdir():
         file.unlink()
     assert saved(read_offsets(spark, str(path))) == {"a": lsn(3), "b": lsn(9)}
-    save_offsets(spark, {"a": lsn(4)}, str(path), "q", 3)
+    save_offsets(spark, {"a": lsn(4)}, str(path), "q")
     assert saved(read_offsets(spark, str(path))) == {"a": lsn(4), "b": lsn(9)}
 
 
@@ -91,13 +130,13 @@ def test_time_goes_with_the_newest_position(spark):
 def test_compaction_keeps_positions_and_the_old_store(spark, tmp_path):
     old, new = str(tmp_path / "old"), str(tmp_path / "new")
     for batch in range(4):
-        save_offsets(spark, {"a": lsn(batch), "b": lsn(9 - batch)}, old, "q", batch)
+        save_offsets(spark, {"a": lsn(batch), "b": lsn(9 - batch)}, old, "q")
     compact_offsets(spark, old, new)
     assert saved(read_offsets(spark, new)) == saved(read_offsets(spark, old))
-    assert spark.read.parquet(new).count() == 2
-    save_offsets(spark, {"a": lsn(70)}, new, "q", 4)
+    assert spark.read.parquet(new).select("query_id").distinct().count() == 1
+    save_offsets(spark, {"a": lsn(70)}, new, "q")
     assert saved(read_offsets(spark, new))["a"] == lsn(70)
-    with pytest.raises(AnalysisException):
+    with pytest.raises(ValueError, match="already"):
         compact_offsets(spark, old, new)
 
 
@@ -157,15 +196,27 @@ def mixed(spark):
     return {name: frame for name in ("a", "b", "c")}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 100])
-def test_lookup_by_join_equals_lookup_by_literal(spark, broadcast_rows):
+def test_high_water_is_never_sorted_for(spark):
+    feed = fan_in(envelopes(changes, name) for name, changes in mixed(spark).items())
+    for marks in (feed_high_water(feed), feed_high_water(feed, ["a", "b", "none"])):
+        assert "Sort [" not in marks._jdf.queryExecution().executedPlan().toString()
+    marks = {r.table_name: r.high_water for r in feed_high_water(feed, ["a", "none"]).collect()}
+    assert marks == {"a": lsn(10), "none": None}
+
+
+def test_lsn_numbers_round_trip(spark):
+    lsns = [lsn(0), lsn(0x80), lsn((1 << 40) - 1), lsn(1 << 40), bytes([0xFF] * 10)]
+    frame = spark.createDataFrame([(x,) for x in lsns], "lsn BINARY")
+    back = frame.select("lsn", lsn_of_number(lsn_number("lsn")).alias("back")).collect()
+    assert [bytes(r.back) for r in back] == [bytes(r.lsn) for r in back]
+
+
+def test_lookup_by_join_equals_lookup_by_literal(spark):
     tables = mixed(spark)
     offsets = offsets_frame(spark, {"a": lsn(4), "b": lsn(10), "unwatched": lsn(1)})
     feed = fan_in(envelopes(changes, name) for name, changes in tables.items())
-    joined = with_last_lsn(feed, offsets, broadcast_rows)
+    joined = with_last_lsn(feed, offsets)
     assert joined.count() == 30
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("strategy=broadcast" in plan) == (broadcast_rows > 0)
 
     by_join = mixed_feed_since(feed, offsets)
     by_literal = change_feed(tables, last_lsns(offsets, tables))

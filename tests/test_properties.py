@@ -56,7 +56,8 @@ def test_positions(spark, rows, partitions):
 @given(rows=feed_rows, partitions=st.integers(1, 9))
 def test_ordered_publishing(spark, rows, partitions):
     with tempfile.TemporaryDirectory() as folder:
-        publish(feed_of(spark, rows), Recorder(folder), partitions=partitions)
+        order = ["table_name"]
+            publish(feed_of(spark, rows), Recorder(folder), order=order, partitions=partitions)
         messages = recorded(folder)
     assert sorted(json.loads(m["message"])["id"] for m in messages) == list(range(len(rows)))
     for table in {t for t, *_ in rows}:

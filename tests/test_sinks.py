@@ -2,6 +2,7 @@
 
 import json
 from itertools import groupby
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
@@ -13,6 +14,7 @@ from tidefeed import change_feed
 from tidefeed.operators import envelopes
 from tidefeed.streaming import Batch, ConsolePrinter, publish, sink
 from tidefeed.streaming import sinks
+from tidefeed.workspace import shared_folder
 
 
 def test_console_publisher_prints_the_line(capsys):
@@ -151,9 +153,51 @@ def test_kafka_records(spark):
         "event_type": b"ChangeDetected",
         "lsn": lsn(1),
         "seqval": lsn(1),
+        "operation": b"2",
     }
 
 
+def test_a_large_table_spreads_over_row_keys(spark):
+    frame = change_frame(spark, [change(i, i, 2, i % 50) for i in range(1, 301)])
+    feed = envelopes(frame, "hot", row_key=F.col("record.id"))
+    assert sinks.kafka_frame(feed).select("key").distinct().count() == 50
+    assert sinks.kafka_frame(feed, "table_name").select("key").distinct().count() == 1
+
+
+def test_order_is_per_row_key_where_there_is_one(spark):
+    feed = small_feed(spark)
+    assert sinks.order_of(feed, sinks.AUTO) is None
+    assert sinks.order_of(feed.withColumn("row_key", F.lit("1")), sinks.AUTO) == sinks.PER_ROW
+    assert sinks.order_of(feed, sinks.PER_TABLE) == sinks.PER_TABLE
+
+
+def test_publishing_leaves_no_folder(spark, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "tidefeed"
+    before = set(folder.glob("slices-*")) if folder.exists() else set()
+    publish(skewed_feed(spark, 50, 5), Recorder(tmp_path), order=sinks.PER_TABLE, partitions=3)
+    assert set(folder.glob("slices-*")) == before
+
+
+def test_a_publisher_that_fails_to_open_is_closed(spark, tmp_path):
+    class Unopened(Recorder):
+        def open(self, partition_id, epoch_id):
+            super().open(partition_id, epoch_id)
+            raise RuntimeError("refused")
+
+        def close(self, error):
+            super().close(error)
+            Path(self.folder, f"closed-{self.partition_id}").touch()
+
+    with pytest.raises(Exception, match="refused"):
+        publish(small_feed(spark), Unopened(tmp_path))
+    assert list(tmp_path.glob("closed-*"))
+
+
+def test_a_connection_string_without_an_endpoint():
+    with pytest.raises(ValueError, match="endpoint"):
+        sinks.event_hub_options("SharedAccessKey=s;EntityPath=hub")
+
+
 def test_kafka_needs_its_connector(spark):
     options = {"kafka.bootstrap.servers": "nowhere:9092", "topic": "t"}
     with pytest.raises(Exception, match="(?i)kafka"):

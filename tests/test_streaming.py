@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 
 from rows import FailsOnce, Recorder, change, change_frame, lsn, recorded
 from tidefeed import change_feed, poll, sink, start_feed, start_polling
-from tidefeed.operators import last_lsns, read_offsets, save_offsets
+from tidefeed.operators import (
+    complete_offsets,
+    empty_offsets,
+    last_lsns,
+    offsets_frame,
+    read_offsets,
+    save_offsets,
+)
 from tidefeed.sources import read_changes, stream_changes
-from tidefeed.streaming import Sink, deliver
+from tidefeed.streaming import Offsets, Sink, deliver
 
 NOW = {"availableNow": True}
 
@@ -42,6 +49,9 @@ class Site:
         return query
 
     def positions(self, *tables):
+        return last_lsns(read_offsets(self.spark, self.offsets, complete=False), tables)
+
+    def complete(self, *tables):
         return last_lsns(read_offsets(self.spark, self.offsets), tables)
 
     def seen(self):
@@ -110,10 +120,42 @@ def test_a_fresh_checkpoint_reads_again_without_lowering_positions(site):
     site.add("a", numbers(1, 20))
     publisher = sink("publisher", publisher=Recorder(site.out))
     site.run(publisher, "a")
-    save_offsets(site.spark, {"a": lsn(99)}, site.offsets, "other", 0)
     site.run(publisher, "a", checkpoint="fresh")
     assert len(site.seen()) == 40
-    assert site.positions("a") == {"a": lsn(99)}
+    assert site.positions("a") == {"a": lsn(20)}
+
+
+def test_a_fresh_checkpoint_starts_at_complete_positions_every_time(site):
+    site.add("a", numbers(1, 20))
+    publisher = sink("publisher", publisher=Recorder(site.out))
+    query = site.run(publisher, "a")
+    complete_offsets(site.spark, site.offsets, query.id)
+    site.add("a", numbers(21, 25))
+    site.run(publisher, "a", checkpoint="fresh")
+    assert sorted(site.seen()) == [("a", i) for i in range(1, 26)]
+    save_offsets(site.spark, {"a": lsn(99)}, site.offsets, "other")
+    site.add("a", numbers(26, 27))
+    site.run(publisher, "a", checkpoint="fresh")
+    assert sorted(site.seen()) == [("a", i) for i in range(1, 28)]
+
+
+def test_a_stream_that_failed_between_files_out_of_order_loses_nothing(site):
+    site.add("a", numbers(11, 20))
+    site.add("a", numbers(1, 10))
+    inner = sink("publisher", publisher=Recorder(site.out))
+
+    def fails_in_the_second_batch(feed, batch):
+        if batch.batch_id == 1:
+            raise RuntimeError("stopped")
+        return inner(feed, batch)
+
+    with pytest.raises(Exception, match="stopped"):
+        site.run(fails_in_the_second_batch, "a", max_files=1)
+    assert site.positions("a") == {"a": lsn(20)}
+    rest = change_feed(site.batches("a"), site.complete("a"))
+    assert rest.count() == 20
+    site.run(inner, "a", checkpoint="fresh")
+    assert {i for _, i in site.seen()} == set(range(1, 21))
 
 
 def test_files_out_of_log_order_lose_nothing(site):
@@ -202,12 +244,16 @@ def test_a_restart_picks_up_new_columns(site):
     assert ["added" in m for m in messages] == [False] * 3 + [True] * 3
 
 
-def test_many_tables_and_a_sink_that_does_not_report(site):
-    # Past the number of tables that are observed while writing, positions cost a second pass.
-    from tidefeed.streaming.sinks import OBSERVED_TABLES
+@pytest.mark.parametrize("more", [1, 63, 64, 200])
+def test_many_tables_are_read_once(site, more, monkeypatch):
+    from tidefeed.streaming import feed as feeds
 
+    def second_pass(*_):
+        raise AssertionError("the batch was read again")
+
+    monkeypatch.setattr(feeds, "feed_high_water", second_pass)
     site.add("a", numbers(1, 4))
-    names = [f"t{i}" for i in range(OBSERVED_TABLES + 1)]
+    names = [f"t{i}" for i in range(more)]
     tables = site.streams("a")
     feed = change_feed(tables)
     written = str(site.folder / "written")
@@ -246,6 +292,38 @@ def look(site, batch_id, *tables, publisher=None):
     return poll(site.spark, site.batches(*tables), chosen, site.offsets, "looks", batch_id)
 
 
+def test_sources_are_told_the_saved_positions(site):
+    site.add("a", numbers(1, 20))
+    told = []
+
+    def tables(saved):
+        told.append(saved["a"])
+        return site.batches("a")
+
+    publisher = sink("publisher", publisher=Recorder(site.out))
+    for batch_id in range(2):
+        poll(site.spark, tables, publisher, site.offsets, "looks", batch_id)
+    assert told == [lsn(0), lsn(20)]
+    assert len(site.seen()) == 20
+
+
+def test_positions_may_be_kept_elsewhere(site):
+    class Kept(Offsets):
+        positions = {}
+
+        def read(self, spark):
+            return offsets_frame(spark, self.positions) if self.positions else empty_offsets(spark)
+
+        def save(self, spark, positions, query_id, complete):
+            self.positions.update(positions)
+
+    site.add("a", numbers(1, 20))
+    kept = Kept("anywhere")
+    publisher = sink("publisher", publisher=Recorder(site.out))
+    assert poll(site.spark, site.batches("a"), publisher, kept, "q", 0) == {"a": lsn(20)}
+    assert poll(site.spark, site.batches("a"), publisher, kept, "q", 1) == {}
+
+
 def test_polls_add_up_and_stop_at_the_end(site):
     site.add("a", numbers(1, 20))
     site.add("b", numbers(1, 5))

@@ -9,14 +9,11 @@ from tidefeed.workspace import new_folder, shared_folder
 
 class Context:
     def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
+        self.master, self.folder, self.applicationId = master, folder, f"app-{id(self)}"
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
 
 def session(master, configured=None, folder=None):
     conf = SimpleNamespace(get=lambda key, default: configured or default)
@@ -35,7 +32,8 @@ def test_a_cluster_without_one_is_refused():
 
 def test_local_mode_makes_one_and_keeps_it():
     local = session("local[2]")
-    assert shared_folder(local) == shared_folder(local) == local.sparkContext.folder
+    assert shared_folder(local) == shared_folder(local)
+    assert local.sparkContext.folder is None
 
 
 def test_folders_are_new_each_time(spark):

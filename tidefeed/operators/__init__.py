@@ -12,6 +12,7 @@ from tidefeed.operators.changes import (
 from tidefeed.operators.envelope import envelopes, fan_in
 from tidefeed.operators.offsets import (
     compact_offsets,
+    complete_offsets,
     create_offsets_table,
     empty_offsets,
     last_lsns,
@@ -19,6 +20,7 @@ from tidefeed.operators.offsets import (
     merge_offsets_into,
     offsets_frame,
     read_offsets,
+    reset_offset,
     save_offsets,
     with_last_lsn,
 )
@@ -31,6 +33,7 @@ __all__ = [
     "SEQVAL",
     "changes_since",
     "compact_offsets",
+    "complete_offsets",
     "create_offsets_table",
     "data_columns",
     "empty_offsets",
@@ -44,6 +47,7 @@ __all__ = [
     "offsets_frame",
     "progress",
     "read_offsets",
+    "reset_offset",
     "save_offsets",
     "scan_changes",
     "with_last_lsn",

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefeed.operators.broadcast import broadcast_if_few
 from tidefeed.workspace import new_folder
 
 # Position in the log; __$seqval and then the operation order the rows of one transaction.
@@ -46,16 +45,19 @@ def in_order(
     return ranges.sortWithinPartitions(*group, *LOG_ORDER, "_tie").drop("_tie")
 
 
-def with_position(feed: DataFrame, partitions: int | None = None) -> DataFrame:
+def with_position(
+    feed: DataFrame, partitions: int | None = None, folder: str | None = None
+) -> DataFrame:
     """The feed with ``position``: 1, 2, 3, ... within each table, in log order.
 
     ``row_number`` over a window per table would collect a table into one task. Instead the
     ordered rows are numbered where they are and written once, which also fixes them against
     a lost executor; a small aggregate then tells how many rows of a table lie in earlier
-    partitions.
+    partitions. The result reads what was written: who gives ``folder`` deletes it afterwards,
+    without it a new one is made under the shared folder.
     """
     spark = feed.sparkSession
-    folder = new_folder(spark, "ordered")
+    folder = folder or new_folder(spark, "ordered")
     ordered = in_order(feed, partitions=partitions)
     numbered = ordered.withColumn("_slot", F.monotonically_increasing_id())
     numbered.write.parquet(folder)
@@ -75,6 +77,9 @@ def with_position(feed: DataFrame, partitions: int | None = None) -> DataFrame:
         "_range",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    joined = rows.join(broadcast_if_few(starts), ["table_name", "_range"])
+    # A row per range and table. As a local table its size is known, and Spark broadcasts it or
+    # not by its bytes; a join with an unknown side would shuffle the wide rows again.
+    starts = spark.createDataFrame(starts.collect(), starts.schema)
+    joined = rows.join(starts, ["table_name", "_range"])
     position = F.col("_slot") + F.col("_shift")
     return joined.select(*feed.columns, position.alias("position"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.functions.lsn import lsn_literal
+from tidefeed.functions.lsn import lsn_literal, lsn_number, lsn_of_number
 from tidefeed.operators.changes import LSN, changes_since, quoted
 from tidefeed.operators.envelope import fan_in
 
@@ -34,10 +34,28 @@ def progress(
     )
 
 
-def feed_high_water(feed: DataFrame) -> DataFrame:
+def feed_high_water(feed: DataFrame, tables: Sequence[str] = ()) -> DataFrame:
     """Newest LSN per table of a feed that already mixes tables.
 
-    Combined on the map side, so the shuffle carries one row per table and task however the
-    rows are spread over tables.
+    With ``tables``, one maximum for each of them without a grouping key, so nothing is sorted and
+    one row per task is shuffled; a table without rows has a null. Without, LSNs are grouped as
+    two integers, which a hash aggregate takes.
     """
-    return feed.groupBy("table_name").agg(F.max("lsn").alias("high_water"))
+    if tables:
+        newest = [
+            F.max(F.when(F.col("table_name") == table, F.col("lsn"))).alias(f"t{i}")
+            for i, table in enumerate(tables)
+        ]
+        pairs = F.array(
+            *[
+                F.struct(F.lit(table).alias("table_name"), F.col(f"t{i}").alias("high_water"))
+                for i, table in enumerate(tables)
+            ]
+        )
+        return feed.agg(*newest).select(F.inline(pairs))
+    return (
+        feed.where("lsn IS NOT NULL")
+        .groupBy("table_name")
+        .agg(F.max(lsn_number("lsn")).alias("number"))
+        .select("table_name", lsn_of_number("number").alias("high_water"))
+    )

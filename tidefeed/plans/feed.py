@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidefeed.functions.lsn import ZERO_LSN
 from tidefeed.operators.changes import changes_since
 from tidefeed.operators.envelope import envelopes, fan_in
-from tidefeed.operators.offsets import with_last_lsn
+from tidefeed.operators.offsets import merge_offsets
 
 
 def change_feed(
@@ -35,6 +36,17 @@ def change_feed(
 
 
 def mixed_feed_since(feed: DataFrame, offsets: DataFrame) -> DataFrame:
-    """The part of a feed that already mixes tables which is past each table's position."""
-    positioned = with_last_lsn(feed, offsets)
-    return positioned.filter(F.col("lsn") > F.col("last_lsn")).select(*feed.columns)
+    """The part of a feed that already mixes tables which is past each table's position.
+
+    Positions are one row per table and are read into the driver; the newer part is then a filter
+    on the table and its LSN alone, which Spark moves below the union and the rendering of
+    messages, down to the scans. ``with_last_lsn`` is the same by a join.
+    """
+    newest = merge_offsets(offsets).where("last_lsn IS NOT NULL").collect()
+    known = [row.table_name for row in newest]
+    past = F.col("lsn") > F.lit(ZERO_LSN)
+    if known:
+        past = past & ~F.col("table_name").isin(known)
+    for row in newest:
+        past = past | ((F.col("table_name") == row.table_name) & (F.col("lsn") > F.lit(bytes(row.last_lsn))))
+    return feed.where(past)

@@ -2,7 +2,6 @@
 
 from tidefeed.sources.files import read_changes, stream_changes
 from tidefeed.sources.jdbc import cut_points_query, jdbc_changes, jdbc_newest, slice_predicates
-from tidefeed.sources.lsn_stream import stream_changes_by_lsn
 
 __all__ = [
     "cut_points_query",
@@ -11,5 +10,4 @@ __all__ = [
     "read_changes",
     "slice_predicates",
     "stream_changes",
-    "stream_changes_by_lsn",
 ]

@@ -1,11 +1,20 @@
 """Continuous feeds: sources to sinks, with positions saved after each published batch."""
 
-from tidefeed.streaming.feed import deliver, poll, start_feed, start_polling
+from tidefeed.streaming.feed import (
+    CatalogOffsets,
+    Offsets,
+    deliver,
+    poll,
+    start_feed,
+    start_polling,
+)
 from tidefeed.streaming.sinks import Batch, ConsolePrinter, Publisher, Sink, publish, sink
 
 __all__ = [
     "Batch",
+    "CatalogOffsets",
     "ConsolePrinter",
+    "Offsets",
     "Publisher",
     "Sink",
     "deliver",

@@ -3,49 +3,110 @@
 The positions are saved after the sink has taken the whole batch and before Spark marks the
 batch done. A failure at any point repeats the batch, so delivery is at least once, and a
 repeated message is recognised by ``(table_name, lsn, seqval, operation)``.
+
+Positions are kept in a store folder, or wherever an ``Offsets`` of the user's keeps them.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Mapping
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidefeed.operators.offsets import last_lsns, read_offsets, save_offsets
+from tidefeed.functions.lsn import ZERO_LSN
+from tidefeed.operators.offsets import (
+    last_lsns,
+    merge_offsets_into,
+    offsets_frame,
+    read_offsets,
+    save_offsets,
+)
 from tidefeed.operators.progress import feed_high_water, progress
 from tidefeed.plans.feed import change_feed
 from tidefeed.streaming.sinks import Batch, Sink
+from tidefeed.workspace import path_exists
 
 # Set by Spark for the thread that runs a micro-batch; the id outlives restarts.
 QUERY_ID = "sql.streaming.queryId"
 
 
+class Offsets:
+    """Where a feed keeps its positions: a store folder."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Rows of table_name, last_lsn, updated_at that are complete."""
+        return read_offsets(spark, self.path)
+
+    def save(
+        self, spark: SparkSession, positions: Mapping[str, bytes], query_id: str, complete: bool
+    ) -> None:
+        save_offsets(spark, positions, self.path, query_id, complete)
+
+
+class CatalogOffsets(Offsets):
+    """A catalog table of ``create_offsets_table``, in a format with row-level operations. It
+    keeps complete positions; what a stream has only seen is not for other feeds to read."""
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.path)
+
+    def save(
+        self, spark: SparkSession, positions: Mapping[str, bytes], query_id: str, complete: bool
+    ) -> None:
+        if complete:
+            merge_offsets_into(spark, self.path, positions)
+
+
+def _offsets(offsets: str | Offsets) -> Offsets:
+    return Offsets(offsets) if isinstance(offsets, str) else offsets
+
+
 def deliver(
-    sink: Sink, offsets_path: str | None = None, tables: tuple[str, ...] = ()
+    sink: Sink, offsets: str | Offsets | None = None, tables: tuple[str, ...] = ()
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: the sink, then the positions the batch reached."""
+    """A ``foreachBatch`` function: the sink, then the positions the batch has seen. They are not
+    complete: a stream takes files in the order they come in."""
 
     def run(feed: DataFrame, batch_id: int) -> None:
         spark = feed.sparkSession
         batch = Batch(spark.sparkContext.getLocalProperty(QUERY_ID), batch_id, tables)
         newest = sink(feed, batch)
-        if offsets_path is None:
+        if offsets is None:
             return
         if newest is None:
-            marks = feed_high_water(feed).filter("high_water IS NOT NULL").collect()
+            marks = feed_high_water(feed, tables).filter("high_water IS NOT NULL").collect()
             newest = {row.table_name: bytes(row.high_water) for row in marks}
         if newest:
-            save_offsets(spark, newest, offsets_path, batch.query_id, batch_id)
+            _offsets(offsets).save(spark, newest, batch.query_id, False)
 
     return run
 
 
+def _start(
+    spark: SparkSession, checkpoint: str, offsets: str | Offsets | None, tables: Mapping
+) -> dict[str, bytes]:
+    """Where a checkpoint starts: at the complete positions of its first start, written beside
+    it, because a later start must filter alike."""
+    path = f"{checkpoint}/tidefeed-start"
+    if not path_exists(spark, path):
+        begun = path_exists(spark, f"{checkpoint}/metadata")
+        saved = _offsets(offsets).read(spark) if offsets is not None and not begun else None
+        rows = offsets_frame(spark, last_lsns(saved, tables))
+        rows.coalesce(1).write.mode("overwrite").parquet(path)
+    return last_lsns(spark.read.parquet(path), tables)
+
+
 def start_feed(
     tables: Mapping[str, DataFrame],
     sink: Sink,
     checkpoint: str,
-    offsets_path: str | None = None,
+    offsets: str | Offsets | None = None,
     after: Mapping[str, bytes] | None = None,
     query_name: str | None = None,
     trigger: Mapping[str, object] | None = None,
@@ -53,13 +114,18 @@ def start_feed(
 ) -> StreamingQuery:
     """Start a streaming feed over streaming change tables.
 
-    The checkpoint is the position. ``after`` is where to start at all, the same on every
-    start of a checkpoint: a moving LSN filter would lose rows, because files need not arrive
-    in log order. ``trigger`` holds the arguments of ``DataStreamWriter.trigger``, such as
+    The checkpoint is the position. A new checkpoint starts at the complete positions saved in
+    ``offsets``, or at ``after`` where that is given, and starts there every time: a moving LSN
+    filter would lose rows, because files need not arrive in log order. For the same reason what
+    a stream saves is what it has seen; ``complete_offsets`` turns that into positions to read on
+    from, once the stream has read all there is. ``trigger`` holds the arguments of ``DataStreamWriter.trigger``, such as
     ``{"processingTime": "5 seconds"}`` (the default) or ``{"availableNow": True}``.
     """
+    if after is None:
+        spark = next(iter(tables.values())).sparkSession
+        after = _start(spark, checkpoint, offsets, tables)
     feed = change_feed(tables, after, **envelope_options)
-    writer = feed.writeStream.foreachBatch(deliver(sink, offsets_path, tuple(tables)))
+    writer = feed.writeStream.foreachBatch(deliver(sink, offsets, tuple(tables)))
     writer = writer.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -68,9 +134,9 @@ def start_feed(
 
 def poll(
     spark: SparkSession,
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame] | Callable[[Mapping[str, bytes]], Mapping[str, DataFrame]],
     sink: Sink,
-    offsets_path: str,
+    offsets: str | Offsets,
     query_id: str,
     batch_id: int,
     newest: Mapping[str, bytes | None] | None = None,
@@ -82,9 +148,14 @@ def poll(
     The newest LSNs are read first, as upper ends, so that rows which arrive meanwhile wait for
     the next look and are not skipped. They come from the LSN columns, or are given as
     ``newest`` where the source can tell, as ``jdbc_newest`` does. Both reads push the LSN range
-    into the scan.
+    into the scan. ``tables`` may be a function of the saved positions (a mapping that gives zero
+    for unknown tables), for sources that are cut into slices from there on.
     """
-    saved = last_lsns(read_offsets(spark, offsets_path), tables)
+    store = _offsets(offsets)
+    if callable(tables):
+        known = {row.table_name: bytes(row.last_lsn) for row in store.read(spark).collect()}
+        tables = tables(defaultdict(lambda: ZERO_LSN, known))
+    saved = last_lsns(store.read(spark), tables)
     if newest is None:
         marks = progress(tables, saved).collect()  # one per table
         newest = {row.table_name: bytes(row.high_water) for row in marks}
@@ -94,15 +165,15 @@ def poll(
     fresh = {name: tables[name] for name in reached}
     feed = change_feed(fresh, saved, reached, **envelope_options)
     sink(feed, Batch(query_id, batch_id))
-    save_offsets(spark, reached, offsets_path, query_id, batch_id)
+    store.save(spark, reached, query_id, True)
     return reached
 
 
 def start_polling(
     spark: SparkSession,
-    tables: Callable[[], Mapping[str, DataFrame]],
+    tables: Callable[..., Mapping[str, DataFrame]],
     sink: Sink,
-    offsets_path: str,
+    offsets: str | Offsets,
     checkpoint: str,
     interval: str = "5 seconds",
     query_name: str | None = None,
@@ -111,7 +182,7 @@ def start_polling(
 ) -> StreamingQuery:
     """``poll`` every ``interval``, for sources that Spark reads but does not stream, such as a
     database table. ``tables`` is called for each look, so new files and columns are seen, and
-    so is ``newest`` if given.
+    so is ``newest`` if given. If ``tables`` takes an argument, it gets the saved positions.
 
     A one-row-per-second stream only supplies the beat and the batch ids.
     """
@@ -119,7 +190,8 @@ def start_polling(
     def look(beat: DataFrame, batch_id: int) -> None:
         query_id = beat.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         reached = None if newest is None else newest()
-        poll(spark, tables(), sink, offsets_path, query_id, batch_id, reached, **envelope_options)
+        found = tables if signature(tables).parameters else tables()
+        poll(spark, found, sink, offsets, query_id, batch_id, reached, **envelope_options)
 
     beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     writer = beat.writeStream.foreachBatch(look).option("checkpointLocation", checkpoint)

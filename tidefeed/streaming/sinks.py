@@ -17,20 +17,30 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.operators.broadcast import broadcast_if_few
 from tidefeed.operators.ordering import LOG_ORDER, by_range
-from tidefeed.workspace import new_folder, shared_folder
+from tidefeed.workspace import new_folder, remove_folder, shared_folder
 
 log = logging.getLogger(__name__)
 
-# Observing one maximum per table is cheaper than a second pass as long as tables are few.
-OBSERVED_TABLES = 64
+# Maxima that one observation holds; more tables take a chain of observations.
+OBSERVED = 64
 
 # Fixed value: what each line on the console starts with.
 CONSOLE_PREFIX = "ConsolePublisher: "
 
-# What a feed promises unless told otherwise: each table's messages in log order.
+# Orders to ask for. Each table in log order cannot go on in parallel within a table: a table's
+# slices are published one after the other. Each row key in log order hardly waits.
 PER_TABLE = ("table_name",)
+PER_ROW = ("table_name", "row_key")
+# Unless told otherwise: per row key where the feed has one, else none. Every message carries its
+# log position.
+AUTO = ("auto",)
+
+
+def order_of(feed: DataFrame, order: Sequence[str] | None) -> Sequence[str] | None:
+    if order is None or tuple(order) != AUTO:
+        return order
+    return PER_ROW if "row_key" in feed.columns else None
 
 
 @dataclass(frozen=True)
@@ -66,15 +76,19 @@ class Publisher:
 class ConsolePrinter(Publisher):
     """Prints each message where its task runs."""
 
+    @staticmethod
+    def line(row: Row) -> str:
+        return f"{CONSOLE_PREFIX}[{row.event_type}] {row.table_name}: {row.message}"
+
     def process(self, row: Row) -> None:
-        print(f"{CONSOLE_PREFIX}[{row.event_type}] {row.table_name}: {row.message}", flush=True)
+        print(self.line(row), flush=True)
 
 
 def publish(
     feed: DataFrame,
     publisher: Publisher,
     epoch_id: int = 0,
-    order: Sequence[str] | None = PER_TABLE,
+    order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
     folder: str | None = None,
 ) -> dict[str, bytes]:
@@ -83,8 +97,13 @@ def publish(
     ``order``, ``partitions`` and ``folder`` are those of ``in_steps``.
     """
     newest: dict[str, bytes] = {}
-    for first_id, step in in_steps(feed, order, partitions, folder):
-        _keep_newest(newest, _publish_step(step, publisher, epoch_id, first_id))
+    own = None if folder else new_folder(feed.sparkSession, "slices")
+    try:
+        for first_id, step in in_steps(feed, order, partitions, folder or own):
+            _keep_newest(newest, _publish_step(step, publisher, epoch_id, first_id))
+    finally:
+        if own:
+            remove_folder(feed.sparkSession, own)
     return newest
 
 
@@ -109,8 +128,8 @@ def _publish_step(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         newest: dict[str, bytes] = {}
         failure = None
-        wanted = publisher.open(first_id + TaskContext.get().partitionId(), epoch_id)
         try:
+            wanted = publisher.open(first_id + TaskContext.get().partitionId(), epoch_id)
             for batch in batches:
                 columns = {n: _values(c) for n, c in zip(batch.schema.names, batch.columns)}
                 if wanted:
@@ -137,7 +156,7 @@ def _publish_step(
 
 def in_steps(
     feed: DataFrame,
-    order: Sequence[str] | None = PER_TABLE,
+    order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
     folder: str | None = None,
 ) -> Iterator[tuple[int, DataFrame]]:
@@ -153,6 +172,7 @@ def in_steps(
 
     With each frame goes a partition number that no earlier frame reaches.
     """
+    order = order_of(feed, order)
     if order is None:
         yield 0, feed
         return
@@ -187,7 +207,8 @@ def in_steps(
     numbers = ("_slice", "_step", "_first_place", "_later_place")
     schema = T.StructType([T.StructField(name, T.IntegerType()) for name in numbers])
     schema.add(ends.schema["head"])
-    slices = broadcast_if_few(spark.createDataFrame(layout, schema))
+    # A local table's size is known, and Spark chooses the join by it.
+    slices = spark.createDataFrame(layout, schema)
     goes_on = (F.col("_step") > 0) & key.eqNullSafe(F.col("head"))
     in_order = (*group, *LOG_ORDER, "_tie")
 
@@ -208,7 +229,7 @@ def _slices_of(feed: DataFrame, batch: Batch) -> str:
 
 def publisher_sink(
     publisher: Publisher,
-    order: Sequence[str] | None = PER_TABLE,
+    order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
 ) -> Sink:
     def run(feed: DataFrame, batch: Batch) -> Mapping[str, bytes]:
@@ -226,14 +247,13 @@ def writer_sink(
     """A sink from a function that writes a whole frame with one DataFrame write."""
 
     def run(feed: DataFrame, batch: Batch) -> Mapping[str, bytes] | None:
-        observed = 0 < len(batch.tables) <= OBSERVED_TABLES
         newest: dict[str, bytes] = {}
         for _, step in in_steps(feed, order, partitions, _slices_of(feed, batch)):
-            if observed:
+            if batch.tables:
                 _keep_newest(newest, _observed_write(write, step, batch))
             else:
                 write(step, batch)
-        return newest if observed else None
+        return newest if batch.tables else None
 
     return run
 
@@ -242,14 +262,18 @@ def _observed_write(
     write: Callable[[DataFrame, Batch], None], feed: DataFrame, batch: Batch
 ) -> dict[str, bytes]:
     """Write, and learn the newest LSN per table from the rows that go by."""
-    seen = Observation()
-    newest = [
-        F.max(F.when(F.col("table_name") == table, F.col("lsn"))).alias(f"t{i}")
-        for i, table in enumerate(batch.tables)
-    ]
-    write(feed.observe(seen, *newest), batch)
-    found = [seen.get[f"t{i}"] for i in range(len(batch.tables))]
-    return {t: bytes(lsn) for t, lsn in zip(batch.tables, found) if lsn is not None}
+    seen: list[tuple[Observation, Sequence[str]]] = []
+    for first in range(0, len(batch.tables), OBSERVED):
+        some = batch.tables[first : first + OBSERVED]
+        newest = [
+            F.max(F.when(F.col("table_name") == table, F.col("lsn"))).alias(f"t{i}")
+            for i, table in enumerate(some)
+        ]
+        seen.append((Observation(), some))
+        feed = feed.observe(seen[-1][0], *newest)
+    write(feed, batch)
+    found = {t: o.get[f"t{i}"] for o, some in seen for i, t in enumerate(some)}
+    return {table: bytes(lsn) for table, lsn in found.items() if lsn is not None}
 
 
 def parquet_sink(path: str) -> Sink:
@@ -262,33 +286,38 @@ def parquet_sink(path: str) -> Sink:
     return writer_sink(write)
 
 
-def kafka_frame(feed: DataFrame, key: str = "table_name") -> DataFrame:
-    """A feed as Kafka records: the payload is the value, the rest of the envelope headers."""
+def kafka_frame(feed: DataFrame, key: str | None = None) -> DataFrame:
+    """A feed as Kafka records: the payload is the value, the rest of the envelope headers.
+
+    ``key`` is the column whose messages share a Kafka partition: by default ``row_key`` where the
+    feed has one, and else the table, whose messages then all do. Readers recognise a repeated
+    message by the table, LSN, sequence value and operation; a table without ``__$seqval`` has no
+    such key.
+    """
 
-    def header(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
+    def header(name: str) -> Column:
+        return F.struct(F.lit(name).alias("key"), F.col(name).cast("binary").alias("value"))
 
-    headers = F.array(
-        header("table_name", F.col("table_name")),
-        header("event_type", F.col("event_type")),
-        header("lsn", F.col("lsn")),
-        header("seqval", F.col("seqval")),
+    operation = F.struct(
+        F.lit("operation").alias("key"),
+        F.col("operation").cast("string").cast("binary").alias("value"),
     )
+    names = ("table_name", "event_type", "lsn", "seqval")
+    key = key or ("row_key" if "row_key" in feed.columns else "table_name")
     return feed.select(
         F.col(key).cast("string").alias("key"),
         F.col("message").alias("value"),
-        headers.alias("headers"),
+        F.array(*[header(name) for name in names], operation).alias("headers"),
     )
 
 
 def kafka_sink(
     options: Mapping[str, str],
-    key: str = "table_name",
-    order: Sequence[str] | None = PER_TABLE,
+    key: str | None = None,
+    order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
 ) -> Sink:
-    """A Kafka topic. Messages of one ``key`` share a Kafka partition, so with the default a
-    table's messages do; a finer key such as ``row_key`` spreads a large table."""
+    """A Kafka topic. Messages of one ``key`` share a Kafka partition, see ``kafka_frame``."""
     missing = {"kafka.bootstrap.servers", "topic"} - set(options)
     if missing:
         raise ValueError(f"a kafka sink needs the options {sorted(missing)}")
@@ -301,7 +330,9 @@ def kafka_sink(
 
 def event_hub_options(connection_string: str, topic: str | None = None) -> dict[str, str]:
     """Kafka options for the Kafka endpoint of an Event Hubs connection string."""
-    parts = dict(part.split("=", 1) for part in connection_string.strip(";").split(";"))
+    parts = dict(part.partition("=")[::2] for part in connection_string.strip(";").split(";"))
+    if not parts.get("Endpoint"):
+        raise ValueError("the connection string names no endpoint")
     if not (topic or "EntityPath" in parts):
         raise ValueError("the connection string names no hub; give its topic")
     host = parts["Endpoint"].removeprefix("sb://").strip("/")
@@ -321,9 +352,9 @@ def sink(
     kind: str | None = None,
     connection_string: str | None = None,
     publisher: Publisher | None = None,
-    order: Sequence[str] | None = PER_TABLE,
+    order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
-    key: str = "table_name",
+    key: str | None = None,
     path: str | None = None,
     topic: str | None = None,
     options: Mapping[str, str] | None = None,

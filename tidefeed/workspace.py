@@ -7,12 +7,32 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_own: dict[str, str] = {}
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's own readers see them."""
+    jvm = spark.sparkContext._jvm
+    named = jvm.org.apache.hadoop.fs.Path(path)
+    return named, named.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    named, system = _path(spark, path)
+    return system.exists(named)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data that nothing reads any more."""
+    named, system = _path(spark, path)
+    system.delete(named, True)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """What the session names in ``spark.checkpoint.dir``, or has set as checkpoint folder.
 
-    If there is none, local mode gets a temporary folder. A cluster is refused, because a
-    folder of one machine would not do.
+    If there is none, local mode gets a temporary folder of this process; the session's own
+    setting stays as it is. A cluster is refused, because a folder of one machine would not do.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -20,8 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidefeed-"))
-    return context.getCheckpointDir()
+    name = context.applicationId
+    if name not in _own:
+        _own[name] = tempfile.mkdtemp(prefix="tidefeed-")
+    return _own[name]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
