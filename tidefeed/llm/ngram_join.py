@@ -201,7 +201,7 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     sets = staged(sets, "sets")
     reached = staged(components(_links(sets)), "components")
-    known = all_sets.select("id", "version", "class").join(
+    known = all_sets.select("id", "version", "class").distinct().join(
         reached.withColumnRenamed("id", "class"), "class", "left"
     )
     known = known.select("id", "version", F.coalesce("component", "class").alias("group"))
