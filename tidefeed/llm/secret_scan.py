@@ -10,15 +10,15 @@ above and below the alphabet's middle, and the correlation of neighbours. Their
 How often do words look that random? Runs of letters without a digit are the null distribution,
 by class of length, over the whole corpus. A run with letters and digits gets as p-value the share
 of null runs of its length class that look as random, and the Benjamini-Hochberg rule over all such
-runs of the corpus keeps the share of false finds under ``FALSE_FINDS``. Runs that overlap a base
-span are left to it.
+runs of the corpus keeps the share of false finds under ``FALSE_FINDS``. Besides, the battery itself
+must let the run pass as random: its score is below what one of 1000 random strings exceeds. Runs
+that overlap a base span are left to it.
 
 Only DataFrame functions run here. Lengths, classes and scores are counted in a table of a few
 thousand cells, whatever the corpus, and so the rule needs no sort of all runs.
 
 Null and empty texts have no spans. Rows of one id and one text are one document for the tests; every
-row gives a result row. Without null runs (a small table) a run is kept if its score is below the
-95th percentile of random strings.
+row gives a result row. Without enough null runs (a small table) the battery alone decides.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ KINDS = ("assign", "access", "hex", "random")
 VALUE = 8
 FALSE_FINDS = 0.05
 SCORES, SCORE_STEP = 400, 0.25
-RANDOM_95 = 7.8
+#: The chi-squared value of three degrees of freedom that one random string of 1000 exceeds.
+BATTERY = 16.27
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -197,8 +198,9 @@ def _random(found: DataFrame) -> DataFrame:
     )
     passes = F.col("p") <= FALSE_FINDS * F.col("better") / F.col("all_tried")
     cells = cells.withColumn("limit", F.max(F.when(passes, F.col("p"))).over(alone))
-    few = (F.col("all_null") < 1 / FALSE_FINDS) & (F.col("cell") * SCORE_STEP < RANDOM_95)
-    kept = cells.where(few | (F.col("p") <= F.col("limit"))).select("size", "cell")
+    few = F.col("all_null") < 1 / FALSE_FINDS
+    passed = F.col("cell") * SCORE_STEP < BATTERY
+    kept = cells.where(passed & (few | (F.col("p") <= F.col("limit")))).select("size", "cell")
     return (
         tested.where("letters AND digits")
         .join(F.broadcast(kept), ["size", "cell"])

@@ -112,11 +112,11 @@ def _search(k: int):
         query = next((r for r in rows if r["is_query"]), None)
         if query is not None:
             width = query["width"]
-            q = np.frombuffer(query["values"], np.int32).reshape(-1, width)
+            q = np.frombuffer(query["values"], np.int32).reshape(len(query["ids"]), width)
             q_ids = np.array(query["ids"], np.int64)
             for r in rows:
                 if not r["is_query"]:
-                    x = np.frombuffer(r["values"], np.int32).reshape(-1, width)
+                    x = np.frombuffer(r["values"], np.int32).reshape(len(r["ids"]), width)
                     found += zip(*best_of(q, q_ids, x, np.array(r["ids"], np.int64), k), strict=True)
         empty = np.zeros(0, np.int64)
         ids, others, scores = (
