@@ -178,7 +178,7 @@ def _lexicons(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         odds = F.log(
             (F.col("bad") + 0.5) * (good + 1) / ((F.col("good") + 0.5) * (bad + 1))
         )
-        least = max(5, round(0.005 * bad))
+        least = max(5, round(0.01 * bad))
         rows = (
             counted.where(F.col("bad") >= least)
             .withColumn("odds", odds)
