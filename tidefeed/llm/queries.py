@@ -112,5 +112,82 @@ def queries() -> dict:
     }
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _op1_sql() -> str:
+    rules = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+    return f"""
+WITH rules AS (
+    SELECT rule, verdict, split_part(rule, '/', 1) AS rule_host,
+           rule[strpos(rule, '/'):] AS rule_path
+    FROM (VALUES {rules}) AS t(rule, verdict)
+), parts AS (
+    SELECT page_id, row_number() OVER () AS nth,
+           coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                              '{_UPPER}', '{_LOWER}'), '') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), best AS (
+    SELECT nth, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+    FROM parts JOIN rules
+      ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+    GROUP BY nth
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (nth)"""
+
+
+_OP2_SQL = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, [x for x in
+        string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                           '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(w) >= 5
+             THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(s) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * c >= 75 * (p.n + q.n - c)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON reach.other = both_ways.x
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id
+FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id"""
+
+_OP8_SQL = """
+WITH v AS (
+    SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+              AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_url_filters": _op1_sql(),
+        "op2_ngram_jaccard": _OP2_SQL,
+        "op8_exact_top_k": _OP8_SQL,
+    }
