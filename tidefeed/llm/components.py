@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.llm.shared import staged
+from tidefeed.llm.shared import scratch, staged
 
 #: Links in a file of a step's table, on average.
 LINKS = 500_000
@@ -18,6 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     larger neighbours, then all others, to the smallest neighbour. It is written as a table. The
     steps end when what is left are stars, after about the logarithm of a component's size.
     """
+    with scratch(links.sparkSession):
+        return _contracted(links)
+
+
+def _contracted(links: DataFrame) -> DataFrame:
     pairs = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
@@ -46,4 +51,5 @@ def components(links: DataFrame) -> DataFrame:
         if sides.where("down > 1 OR (down = 1 AND up = 1)").isEmpty():
             break
     heads = pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(heads)
+    found = pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(heads)
+    return staged(found.coalesce(files), "components", keep=True)

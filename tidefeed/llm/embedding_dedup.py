@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.components import components
-from tidefeed.llm.shared import flat, lists, mixed, real_id, row_id, staged
+from tidefeed.llm.shared import flat, mixed, real_id, row_id, scratch, staged
 from tidefeed.llm.topk_search import whole_vectors
 
 #: Links have this cosine at least.
@@ -204,14 +204,8 @@ def _verify(blocks: int, cosine: float):
     return verify
 
 
-def near_duplicates(rows: DataFrame, vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of each row with vec_id and a vector."""
-    named = rows.select(
-        row_id("vec_id").alias("id"), F.col(vector).cast("array<double>").alias("vector")
-    )
-    usable = whole_vectors(named, "vector").where(F.exists("vector", lambda x: x != 0))
-    # zero has two signs, and one value
-    usable = usable.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+def _known(usable: DataFrame, cosine: float) -> DataFrame:
+    """(vector, n_links, component_id) of each different vector."""
     classes = usable.groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = staged(
         classes.withColumn("class", F.xxhash64("vector")), "classes"
@@ -273,7 +267,19 @@ def near_duplicates(rows: DataFrame, vector: str = "embedding", cosine: float =
     known = known.join(smallest, "component").select(
         "vector", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
-    known = staged(known, "known")
+    return known
+
+
+def near_duplicates(rows: DataFrame, vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of each row with vec_id and a vector."""
+    named = rows.select(
+        row_id("vec_id").alias("id"), F.col(vector).cast("array<double>").alias("vector")
+    )
+    usable = whole_vectors(named, "vector").where(F.exists("vector", lambda x: x != 0))
+    # zero has two signs, and one value
+    usable = usable.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+    with scratch(rows.sparkSession):
+        known = staged(_known(usable, cosine), "known", keep=True)
     by_class = usable.select("id", F.xxhash64("vector").alias("class")).join(
         known.select(F.xxhash64("vector").alias("class"), "n_links", "component_id"), "class"
     )

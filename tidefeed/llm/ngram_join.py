@@ -32,7 +32,16 @@ from pyspark.sql import functions as F
 
 from tidefeed.llm.components import components
 from tidefeed.llm.repeats import shingle_repeats
-from tidefeed.llm.shared import chunks, keyed, lists, mixed, real_id, staged, utf8
+from tidefeed.llm.shared import (
+    chunks,
+    keyed,
+    lists,
+    mixed,
+    real_id,
+    scratch,
+    staged,
+    utf8,
+)
 from tidefeed.llm.shingles import shingles
 
 #: The similarity from which documents link: 3 / 4.
@@ -182,6 +191,11 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     ``version`` is ``xxhash64`` of the text, ``group`` names the documents that reach each other
     (null: alone), and ``rows`` counts the rows of the same id and text.
     """
+    with scratch(docs.sparkSession):
+        return staged(_similar(docs, text), "similar", keep=True)
+
+
+def _similar(docs: DataFrame, text: str) -> DataFrame:
     whole = keyed(docs, text)
     stats = staged(shingle_repeats(whole), "repeats")
     suspects = stats.where(f"n > 0 AND repeated * {OF} >= n * {PART}").select("id", "version")
@@ -200,7 +214,7 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         .dropDuplicates(["class"])
     )
     sets = staged(sets, "sets")
-    reached = staged(components(_links(sets)), "components")
+    reached = components(_links(sets))
     known = all_sets.select("id", "version", "class").distinct().join(
         reached.withColumnRenamed("id", "class"), "class", "left"
     )

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.workspace import new_folder
+from tidefeed.workspace import new_folder, remove_folder
 
 #: Bytes of text that a task works on at a time: what fits a core's cache.
 CHUNK = 1 << 20
@@ -28,15 +30,36 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def staged(frame: DataFrame, purpose: str) -> DataFrame:
+#: Folders written so far in each open ``scratch``, innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``staged`` wrote meanwhile, but for what it was told to keep."""
+    folders: list[str] = []
+    token = _open.set((*_open.get(), folders))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
+def staged(frame: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
     """``frame``, written to the shared folder and read again.
 
     What follows survives lost executors, because it starts from files. The shuffle files of what
     came before are released (before the step too: listeners may have held the last step's plan
-    until now), so that a job of many steps needs the disk of its largest step.
+    until now), so that a job of many steps needs the disk of its largest step. In a ``scratch``
+    the files are deleted at its end; ``keep`` leaves them to the scratch around it, if any.
     """
     spark = frame.sparkSession
     folder = new_folder(spark, purpose)
+    scratches = _open.get()[: -1 if keep else None]
+    if scratches:
+        scratches[-1].append(folder)
     release(spark)
     frame.write.parquet(folder)
     release(spark)

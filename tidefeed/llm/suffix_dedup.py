@@ -7,14 +7,14 @@ times its size in shuffles, so only every string's own anchor goes into the firs
 
 1. Of the ``Q``-byte strings in a string of ``LENGTH`` bytes, the one with the least hash is its
    anchor. Equal strings have equal anchors at equal places. The strings of a document that share
-   an anchor form a block of consecutive starts; there are about 16 starts to a block.
+   an anchor form a block of consecutive starts; there are about 18 starts to a block.
 2. Tasks send each block's anchor and the number of all its bytes, as arrays for many documents.
    An anchor's bucket is refined by the bytes at later and at earlier offsets: a string goes on for
    half of its other bytes on one side of the anchor at least. A block whose bytes an earlier
    document has too is decided as a whole. Other blocks whose refined bucket has an earlier document
    are open, and with them what they may equal.
 3. Only open blocks are refined to single strings: the numbers of the ``Q``-byte strings at
-   offsets 0, Q and LENGTH - Q number the string, and the earliest document of each number keeps
+   offsets 0, Q, 2 Q and LENGTH - Q number the string, and the earliest document of each number keeps
    it. So long copies cost one number a block, and single strings are sent at ends of copies only.
 
 Numbers are 64-bit hashes. Buckets are sized by the corpus and hold a few bytes for each block, so
@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.exchange import Entries, Outbox, answered, texts
-from tidefeed.llm.shared import Rolling, flat, keyed, lists, mixed, real_id, staged
+from tidefeed.llm.shared import Rolling, flat, keyed, lists, mixed, real_id, scratch, staged
 
-LENGTH, Q = 50, 20
+LENGTH, Q = 50, 16
 #: Of a string's bytes besides its anchor at least so many are on one side of it.
 SIDE = (LENGTH - Q) // 2
 #: Blocks, or strings, that a bucket holds on average.
@@ -98,7 +98,7 @@ class Strings:
     def strings(self, starts: np.ndarray) -> np.ndarray:
         """The numbers of the strings that start at ``starts``, from those at later offsets."""
         number = self.short[starts]
-        for offset in (Q, LENGTH - Q):
+        for offset in (*range(Q, LENGTH - Q, Q), LENGTH - Q):
             number = mixed(number ^ (self.short[starts + offset] * np.uint64(0x2545F4914F6CDD1D)))
         return number
 
@@ -282,8 +282,25 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     ``version`` is ``xxhash64`` of the text; with the id it finds the row of ``docs`` again.
     """
     whole = keyed(docs, text)
+    with scratch(docs.sparkSession):
+        found = staged(_found(whole), "found", keep=True)
+    none = F.array().cast("array<int>")
+    rows = whole.join(found, ["id", "version"], "left").select(
+        "id",
+        "version",
+        "text",
+        F.coalesce("decided", none).alias("decided"),
+        F.coalesce("starts", none).alias("starts"),
+    )
+    return rows.mapInArrow(_cut, CUT).select(
+        real_id("id").alias("doc_id"), "version", "kept", "n_bytes", "starts", "ends"
+    )
+
+
+def _found(whole: DataFrame) -> DataFrame:
+    """(id, version, decided, starts): blocks and strings that an earlier document has."""
     size = whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // (16 * IN_BUCKET)))
+    buckets = max(1, -(-size // (18 * IN_BUCKET)))
     blocks = _marks(answered(whole, _send_blocks(buckets), _decide_blocks, buckets))
     blocks = staged(
         blocks.select(
@@ -299,13 +316,13 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         "blocks",
     )
     n_open = blocks.agg(F.sum(F.size("open"))).first()[0] or 0
-    buckets = max(1, -(-n_open * 16 // IN_BUCKET))
+    buckets = max(1, -(-n_open * 18 // IN_BUCKET))
     open_ = blocks.where("size(open) > 0").select("id", "version", "open")
     wanted = whole.join(open_, ["id", "version"])
     strings = _marks(answered(wanted, _send_strings(buckets), _decide_strings, buckets))
     strings = staged(strings.withColumnRenamed("marks", "starts"), "strings")
     none = F.array().cast("array<int>")
-    found = (
+    return (
         blocks.select("id", "version", "decided")
         .join(strings, ["id", "version"], "full")
         .select(
@@ -315,13 +332,3 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
             F.coalesce("starts", none).alias("starts"),
         )
     )
-    rows = whole.join(found, ["id", "version"], "left").select(
-        "id",
-        "version",
-        "text",
-        F.coalesce("decided", none).alias("decided"),
-        F.coalesce("starts", none).alias("starts"),
-    )
-    return rows.mapInArrow(_cut, CUT).select(
-        real_id("id").alias("doc_id"), "version", "kept", "n_bytes", "starts", "ends"
-    )
