@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidefeed.llm import queries as q
-from tidefeed.llm.embedding_dedup import Lattices, near_duplicates, nearest_points
+from tidefeed.llm.embedding_dedup import Lattices, near_duplicates, nearest_points, shape
 from tidefeed.llm.topk_search import top_k, whole_vectors
 from tidefeed.llm.url_filters import filter_urls
 
@@ -147,3 +147,34 @@ def test_near_duplicates_equal_brute_force(spark):
     group = {r.component_id for r in got if r.vec_id == 0 or 300 <= r.vec_id < 330}
     assert group == {0}
     assert near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+@pytest.mark.parametrize("n", [500, 70_000, 100_000_000])
+@pytest.mark.parametrize("cosine", [0.9, 0.92, 0.95])
+def test_recall_is_the_same_for_every_size(n, cosine):
+    blocks, scale = shape(n)
+    draw = np.random.default_rng(7)
+    x, z = draw.standard_normal((2, 600, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (x * z).sum(1, keepdims=True) * x
+    y = cosine * x + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    a, b = (Lattices(64, blocks, 0.9, scale).cells(v) for v in (x, y))
+    met = (a == b[:, :, :1]).any((1, 2)) | (b == a[:, :, :1]).any((1, 2))
+    assert met.mean() > 0.97
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_links_at_the_threshold_equal_brute_force(spark, monkeypatch, blocks):
+    from tidefeed.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "shape", lambda n: (blocks, 0.6 if blocks == 1 else 0.45))
+    draw = np.random.default_rng(6)
+    x = draw.standard_normal((300, 64))
+    y = x + draw.standard_normal((300, 64)) * 0.47
+    unit = np.concatenate([x, y]).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(unit)]
+    unit = unit.astype(float) / np.linalg.norm(unit.astype(float), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want)) and want.sum() > 200
+    assert sum(got.values()) >= 0.97 * want.sum()

@@ -2,10 +2,13 @@
 
 A table projects unit vectors at random to one or more blocks of 8 dimensions and decodes each to
 the nearest point of the lattice E8; the points together are the cell. A vector is entered under
-its own cell and looks in it and in neighbouring ones: for each block the cell with that block's
-point moved to the next nearest lattice point. With b blocks there are about 1400 ** b cells for
-scattered vectors, so b is chosen such that a cell holds some dozens of them on average, and
-there are 4 b tables. Nothing is fitted, every row is indexed, and there is no cap on a cell.
+its own cell and looks in it and in neighbouring ones: those with the points of any of the blocks
+moved to the next nearest lattice point. Blocks and their scale are chosen such that a cell holds
+some dozens of scattered vectors on average. Projections are normal, so whether a pair meets in a
+table depends on its cosine alone, and tables are independent: as many are taken as let a pair at
+the threshold meet with probability ``RECALL``, whatever the number of rows. Tables are done a few
+at a time, so that more of them need no more disk. Nothing is fitted, every row is indexed, and
+there is no cap on a cell.
 
 Equal vectors are one class and looked up once. A cell of many classes is cut into slices, and
 every pair of slices is one task's matrix product. A pair counts where it first meets, in the order
@@ -19,8 +22,9 @@ vectors of each other, and share a component. A null id comes after all others.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,13 @@ from tidefeed.llm.topk_search import whole_vectors
 COSINE = 0.9
 SCALE = 0.6
 CELLS, IN_CELL = 1400, 48
-TABLES = 4  # for each block
+#: Cells of one block that scattered vectors seem to have, at some scales.
+CELLS_AT, SCALES = (29, 210, 868), (0.4, 0.5, SCALE)
+#: Part of the pairs at the threshold that meet; of those above it more do.
+RECALL = 0.99
+PAIRS = 20_000  # drawn to find it
+#: Cells that a class looks in at a time.
+LOOKS = 8
 #: Rows of a slice of a cell.
 SLICE = 1024
 
@@ -72,35 +82,54 @@ def nearest_points(y: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], half, whole)
 
 
+@cache
+def tables_for(blocks: int, cosine: float, scale: float = SCALE) -> int:
+    """Tables in one of which a pair of this cosine meets with probability ``RECALL``."""
+    draw = np.random.default_rng([9, blocks])
+    one, other = np.ones(PAIRS, bool), np.ones(PAIRS, bool)
+    for _ in range(blocks):
+        x, y = draw.standard_normal((2, PAIRS, 8))
+        y = cosine * x + np.sqrt(max(1 - cosine * cosine, 0)) * y
+        (a, near_a), (b, near_b) = _two_points(scale * x), _two_points(scale * y)
+        one &= (a == b).all(1) | (near_a == b).all(1)
+        other &= (a == b).all(1) | (near_b == a).all(1)
+    meet = max((one | other).sum(), 1) / PAIRS
+    return 1 if meet == 1 else max(1, int(np.ceil(np.log(1 - RECALL) / np.log(1 - meet))))
+
+
+def _two_points(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest and the next nearest point of E8 to each row."""
+    near = nearest_points(y)
+    return near, near + NEIGHBOURS[((y - near) @ NEIGHBOURS.T).argmax(1)]
+
+
 @dataclass(frozen=True)
 class Lattices:
     """Random projections of all tables, the same in every task."""
 
     width: int
     blocks: int
+    cosine: float = COSINE
+    scale: float = SCALE
 
     @property
     def tables(self) -> int:
-        return TABLES * self.blocks
+        return tables_for(self.blocks, self.cosine, self.scale)
 
-    def cells(self, unit: np.ndarray) -> np.ndarray:
-        """Cell numbers by row, table and probe; probe 0 is the own cell."""
-        draw = np.random.default_rng([8, self.width, self.blocks])
-        out = np.zeros((len(unit), self.tables, 1 + self.blocks), np.uint64)
+    def cells(self, unit: np.ndarray, first: int = 0, end: int | None = None) -> np.ndarray:
+        """Cell numbers by row, table (from ``first``) and probe; probe 0 is the own cell."""
+        end = self.tables if end is None else end
+        out = np.zeros((len(unit), end - first, 1 << self.blocks), np.uint64)
         weights = mixed(np.arange(1, 8 * self.blocks + 1, dtype=np.uint64))
-        for t in range(self.tables):
-            numbers = np.zeros((self.blocks, 2, len(unit)), np.uint64)
+        for t in range(first, end):
+            draw = np.random.default_rng([8, self.width, self.blocks, t])
             for b in range(self.blocks):
-                y = unit @ (SCALE * draw.standard_normal((self.width, 8)))
-                near = nearest_points(y)
-                step = NEIGHBOURS[((y - near) @ NEIGHBOURS.T).argmax(1)]
-                for i, point in enumerate((near, near + step)):
+                y = unit @ (self.scale * draw.standard_normal((self.width, 8)))
+                for moved, point in enumerate(_two_points(y)):
                     twice = np.rint(2 * point).astype(np.int64).view(np.uint64)
-                    numbers[b, i] = (twice * weights[8 * b : 8 * b + 8]).sum(1, dtype=np.uint64)
-            own = numbers[:, 0].sum(0, dtype=np.uint64)
-            out[:, t, 0] = own
-            for b in range(self.blocks):
-                out[:, t, 1 + b] = own - numbers[b, 0] + numbers[b, 1]
+                    number = (twice * weights[8 * b : 8 * b + 8]).sum(1, dtype=np.uint64)
+                    probes = np.flatnonzero((np.arange(1 << self.blocks) >> b) & 1 == moved)
+                    out[:, t - first, probes] += number[:, None]
         return mixed(out)
 
 
@@ -111,19 +140,19 @@ def _unit(vectors: np.ndarray, width: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _entries(blocks: int):
+def _entries(lattices: Callable[[int], Lattices], first: int, end: int):
     """(table, cell, entered) for each cell that a class is entered in or looks in."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, len(b), SLICE)):
             values, widths = flat(batch.column("vector"))
             starts = np.concatenate([[0], np.cumsum(widths)])
             for width in np.unique(widths).tolist():
                 rows = np.flatnonzero(widths == width)
                 at = starts[rows][:, None] + np.arange(width)
-                cells = Lattices(width, blocks).cells(_unit(values[at], width))
+                cells = lattices(width).cells(_unit(values[at], width), first, end)
                 n, tables, probes = cells.shape
-                table = np.tile(np.repeat(np.arange(tables), probes), n)
+                table = first + np.tile(np.repeat(np.arange(tables), probes), n)
                 who = pa.array(np.repeat(rows, tables * probes))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -158,7 +187,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _verify(blocks: int, cosine: float):
+def _verify(lattices: Callable[[int], Lattices], cosine: float):
     def verify(got: pa.Table) -> pa.Table:
         width, table = got.column("width")[0].as_py(), got.column("table")[0].as_py()
         ids = got.column("class").to_numpy()
@@ -166,7 +195,7 @@ def _verify(blocks: int, cosine: float):
         entered = got.column("entered").to_numpy(zero_copy_only=False)
         unit = _unit(flat(got.column("vector"))[0], width)
         inside, looking = np.flatnonzero(entered), np.flatnonzero(got.column("looks").to_numpy(zero_copy_only=False))
-        lattices, cells = Lattices(width, blocks), None
+        cells = None
         links_a, links_b, counted = [], [], np.zeros(len(ids), np.int64)
         for first in range(0, len(looking), 256):
             rows = looking[first : first + 256]
@@ -177,13 +206,13 @@ def _verify(blocks: int, cosine: float):
             if not len(p):
                 continue
             if cells is None:
-                cells = lattices.cells(unit)
+                cells = lattices(width).cells(unit, 0, table + 1)
             # met before: in an earlier table, or here with the smaller id looking
-            seen = np.zeros(len(p), bool)
             for t in range(table):
-                seen |= (cells[p, t] == cells[q, t, :1]).any(1)
+                seen = (cells[p, t] == cells[q, t, :1]).any(1)
                 seen |= (cells[q, t] == cells[p, t, :1]).any(1)
-            seen |= (ids[p] > ids[q]) & (cells[q, table] == cells[p, table, :1]).any(1)
+                p, q = p[~seen], q[~seen]
+            seen = (ids[p] > ids[q]) & (cells[q, table] == cells[p, table, :1]).any(1)
             p, q = p[~seen], q[~seen]
             np.add.at(counted, p, copies[q])
             np.add.at(counted, q, copies[p])
@@ -210,12 +239,47 @@ def _known(usable: DataFrame, cosine: float) -> DataFrame:
     classes = staged(
         classes.withColumn("class", F.xxhash64("vector")), "classes"
     )
-    n = classes.count()
+    blocks, scale = shape(classes.count())
+    tables = tables_for(blocks, cosine, scale)
+    at_once = max(1, LOOKS >> blocks)
+    found = [
+        _met(classes, blocks, scale, cosine, first, min(first + at_once, tables))
+        for first in range(0, tables, at_once)
+    ]
+    found = reduce(DataFrame.unionAll, found)
+    counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
+    reached = components(found.select("a", "b")).withColumnRenamed("id", "class")
+    known = (
+        classes.join(counts, "class", "left")
+        .join(reached, "class", "left")
+        .withColumn("component", F.coalesce("component", "class"))
+    )
+    smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = known.join(smallest, "component").select(
+        "vector", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
+    )
+    return known
+
+def shape(n: int) -> tuple[int, float]:
+    """Blocks of a table, and their scale, for n different vectors."""
     blocks = 1
     while n > IN_CELL * CELLS**blocks:
         blocks += 1
+    cells = max(n / IN_CELL, 1) ** (1 / blocks)
+    return blocks, float(np.interp(np.log(cells), np.log(CELLS_AT), SCALES))
+
+
+def _met(
+    classes: DataFrame, blocks: int, scale: float, cosine: float, first: int, end: int
+) -> DataFrame:
+    """Links (a, b) that a table from ``first`` on is the first to show, and their numbers n."""
+
+    def lattices(width: int) -> Lattices:
+        return Lattices(width, blocks, cosine, scale)
+
     entries = classes.select("class", "vector").mapInArrow(
-        _entries(blocks), "class long, width int, table int, cell long, entered boolean"
+        _entries(lattices, first, end),
+        "class long, width int, table int, cell long, entered boolean",
     )
     # a class looks in every cell listed, and is entered in its own
     place = ["width", "table", "cell"]
@@ -253,21 +317,10 @@ def _known(usable: DataFrame, cosine: float) -> DataFrame:
         .agg(F.max("looks").alias("looks"), F.max("entered").alias("entered"))
         .join(classes.select("class", "vector", "copies"), "class")
     )
-    found = staged(
-        both.groupBy(*task).applyInArrow(_verify(blocks, cosine), "a long, b long, n long"), "links"
+    verified = both.groupBy(*task).applyInArrow(
+        _verify(lattices, cosine), "a long, b long, n long"
     )
-    counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
-    reached = components(found.select("a", "b")).withColumnRenamed("id", "class")
-    known = (
-        classes.join(counts, "class", "left")
-        .join(reached, "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
-    )
-    smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = known.join(smallest, "component").select(
-        "vector", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
-    )
-    return known
+    return staged(verified, "links")
 
 
 def near_duplicates(rows: DataFrame, vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
