@@ -200,6 +200,22 @@ def test_random_strings_are_told_from_words(docs):
     assert len(hit - set(range(30))) <= 3
 
 
+# keys of 24 characters overlap with words by their scores
+@pytest.mark.parametrize(("n", "null_runs", "least"), [(72, 1, 26), (40, 10, 26), (40, 18, 26), (24, 18, 5)])
+def test_keys_are_found_with_few_words_of_their_length(docs, n, null_runs, least):
+    draw = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(draw.choices(letters + "0123456789", k=n)) for _ in range(20)]
+    keys += ["".join(draw.choices(letters, k=n)) for _ in range(10)]
+    words = ["".join(draw.choices(["tion", "the", "ing", "er", "an"], k=n))[:n] for _ in range(null_runs)]
+    plain = [w[: n - 2] + "12" for w in words[:20]]
+    rows = [(i, f"x {t} y") for i, t in enumerate(keys + words + plain)]
+    found = secrets(docs(rows)).where("size(spans) > size(base)").select("doc_id").collect()
+    hit = {r.doc_id for r in found}
+    assert len(hit & set(range(30))) >= least
+    assert len(hit - set(range(30))) <= 3
+
+
 def test_masks(docs):
     frame = docs([(1, "é token=abcdefghij z token=abcdefghij"), (2, "clean"), (3, "")])
     found = secrets(frame).select(F.col("doc_id").alias("d"), "spans")

@@ -7,22 +7,27 @@ normal for random strings: the chi-squared statistic of the characters' counts,
 above and below the alphabet's middle, and the correlation of neighbours. Their squares, summed
 (of the first only an excess counts), say how unlike a random string it is.
 
-How often do words look that random? Runs of letters without a digit are the null distribution,
-by class of length, over the whole corpus. A run with letters and digits gets as p-value the share
-of null runs of its length class that look as random, and the Benjamini-Hochberg rule over all such
-runs of the corpus keeps the share of false finds under ``FALSE_FINDS``. Besides, the battery itself
-must let the run pass as random: its score is below what one of 1000 random strings exceeds. Runs
-that overlap a base span are left to it.
+How often do words look that random? Runs of letters without a digit are the null distribution. A
+word's score grows with about the square of its length, so what is left of its logarithm beyond a
+line in that of the length has one distribution for all lengths, and every null run of the corpus
+serves every length, by the probability that it is a word and not a random string without a digit.
+Its mean and spread start from those of a few typical words (``WORDS_N`` of them), and a logistic distribution of that mean and spread gives the p-value of a run: it does
+not depend on how many null runs have that length, and there is one way from none to any number of
+them. The Benjamini-Hochberg rule over all runs with letters, those without digits too, keeps the
+share of false finds under ``FALSE_FINDS``. Besides, the battery itself must let the run pass as
+random: its score is below what one of 1000 random strings exceeds. Runs that overlap a base span
+are left to it.
 
 Only DataFrame functions run here. Lengths, classes and scores are counted in a table of a few
 thousand cells, whatever the corpus, and so the rule needs no sort of all runs.
 
 Null and empty texts have no spans. Rows of one id and one text are one document for the tests; every
-row gives a result row. Without enough null runs (a small table) the battery alone decides.
+row gives a result row.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +46,13 @@ KINDS = ("assign", "access", "hex", "random")
 VALUE = 8
 FALSE_FINDS = 0.05
 SCORES, SCORE_STEP = 400, 0.25
+#: Classes of length for each doubling, and the last one.
+LENGTHS, LAST_LENGTH = 4, 32
+#: ln(1 + score) of typical words of n letters is about AT_0 + SLOPE * ln(n), give or take SPREAD:
+#: 36 times the sum of squared letter frequencies, 0.065, gives z_chi = 0.16 n.
+AT_0, SLOPE, SPREAD, WORDS_N = -3.0, 1.85, 0.6, 5
+#: Share of words among runs without a digit, before their scores are known.
+WORDS = 0.9
 #: The chi-squared value of three degrees of freedom that one random string of 1000 exceeds.
 BATTERY = 16.27
 
@@ -145,6 +157,17 @@ def _scored(runs: DataFrame) -> DataFrame:
     return one.withColumn("score", F.coalesce(score, F.lit(1e6))).drop("chars", "ranks", "sums")
 
 
+def _word(over: Column, score: Column) -> Column:
+    """The probability that a run is a word: the density of words' scores against that of three
+    degrees of freedom, both of ln(1 + score)."""
+    scale = SPREAD * math.sqrt(3) / math.pi
+    low = F.exp(-F.abs(over) / scale)
+    as_word = WORDS * low / (scale * F.pow(1 + low, 2))
+    as_random = (1 - WORDS) * (1 + score) * F.sqrt(score) * F.exp(-score / 2) / math.sqrt(2 * math.pi)
+    # of a score beyond all measure both densities are nothing
+    return F.when(score < SCORES * SCORE_STEP, as_word / (as_word + as_random)).otherwise(1.0)
+
+
 def _random(found: DataFrame) -> DataFrame:
     """(id, version, random): the runs that the battery and the rule keep."""
     runs = (
@@ -155,7 +178,8 @@ def _random(found: DataFrame) -> DataFrame:
         .select("id", "version", "run", "run.value")
     )
     cell = F.least(F.floor(F.col("score") / SCORE_STEP), F.lit(SCORES - 1)).cast("int")
-    length = F.least(F.floor(F.log2(F.col("n")) * 2), F.lit(16)).cast("int")
+    length = F.least(F.floor(F.log2(F.col("n")) * LENGTHS), F.lit(LAST_LENGTH)).cast("int")
+    over = F.log1p("score") - (AT_0 + SLOPE * F.log("n"))
     tested = staged(
         _scored(runs).select(
             "id",
@@ -164,45 +188,39 @@ def _random(found: DataFrame) -> DataFrame:
             "score",
             cell.alias("cell"),
             length.alias("size"),
+            # a run of one character alone says no more than a very unlikely word
+            F.least(over, F.lit(5 * SPREAD)).alias("over"),
+            _word(over, F.col("score")).alias("word"),
             F.rlike("value", F.lit("[0-9]")).alias("digits"),
             F.rlike("value", F.lit("[A-Za-z]")).alias("letters"),
         ),
         "runs",
     )
-    null = tested.where("letters AND NOT digits").groupBy("size", "cell").agg(
-        F.count("*").alias("null_runs"), F.lit(0).cast("long").alias("tried")
-    )
-    tried = tested.where("letters AND digits").groupBy("size", "cell").agg(
-        F.lit(0).cast("long").alias("null_runs"), F.count("*").alias("tried")
-    )
-    # at most 17 * SCORES cells from here on
-    cells = null.unionAll(tried).groupBy("size", "cell").agg(
-        F.sum("null_runs").alias("null_runs"), F.sum("tried").alias("tried")
-    )
-    # a length without null runs takes those of all shorter ones
-    by_size = Window.partitionBy("size")
-    up_to = by_size.orderBy("cell")
-    cells = cells.withColumn("as_random", F.sum("null_runs").over(up_to)).withColumn(
-        "of", F.sum("null_runs").over(by_size)
+    over = F.col("over")
+    null = tested.where("letters AND NOT digits").agg(
+        *[
+            F.coalesce(F.sum(F.col("word") * part), F.lit(0.0)).alias(name)
+            for name, part in (("of", F.lit(1)), ("sum", over), ("squares", over * over))
+        ]
     )
+    mean = F.col("sum") / (F.col("of") + WORDS_N)
+    variance = (F.col("squares") + WORDS_N * SPREAD**2) / (F.col("of") + WORDS_N) - mean * mean
+    null = null.select(mean.alias("mean"), F.sqrt(variance).alias("spread"))
+    # at most 33 * SCORES cells from here on; of each the corner that looks least random
+    cells = tested.where("letters").groupBy("size", "cell").agg(F.count("*").alias("tried"))
+    line = AT_0 + SLOPE * math.log(2) / LENGTHS * F.col("size") + F.col("mean")
+    far = (F.log1p((F.col("cell") + 1) * SCORE_STEP) - line) / F.col("spread")
+    cells = cells.crossJoin(null).withColumn("p", 1 / (1 + F.exp(-far * (math.pi / math.sqrt(3)))))
     alone = Window.partitionBy(F.lit(0))
-    cells = cells.withColumn("all_null", F.sum("null_runs").over(alone)).withColumn(
-        "all_as_random", F.sum("null_runs").over(alone.orderBy("cell"))
-    )
-    p = F.when(F.col("of") > 0, (F.col("as_random") + 1) / (F.col("of") + 1)).otherwise(
-        (F.col("all_as_random") + 1) / (F.col("all_null") + 1)
-    )
-    cells = cells.withColumn("p", p).where("tried > 0")
     cells = cells.withColumn("better", F.sum("tried").over(alone.orderBy("p"))).withColumn(
         "all_tried", F.sum("tried").over(alone)
     )
     passes = F.col("p") <= FALSE_FINDS * F.col("better") / F.col("all_tried")
     cells = cells.withColumn("limit", F.max(F.when(passes, F.col("p"))).over(alone))
-    few = F.col("all_null") < 1 / FALSE_FINDS
     passed = F.col("cell") * SCORE_STEP < BATTERY
-    kept = cells.where(passed & (few | (F.col("p") <= F.col("limit")))).select("size", "cell")
+    kept = cells.where(passed & (F.col("p") <= F.col("limit"))).select("size", "cell")
     return (
-        tested.where("letters AND digits")
+        tested.where("letters")
         .join(F.broadcast(kept), ["size", "cell"])
         .groupBy("id", "version")
         .agg(F.collect_list("run").alias("random"))
