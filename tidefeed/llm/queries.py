@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tidefeed.llm.embedding_dedup import near_duplicates
 from tidefeed.llm.ngram_join import similar_documents
 from tidefeed.llm.packing import pack_documents
+from tidefeed.llm.prefix_trie import restarted_trie
 from tidefeed.llm.secret_scan import KINDS, secrets, written
 from tidefeed.llm.sentencepiece_codec import decoded, encoded
 from tidefeed.llm.shared import table
+from tidefeed.llm.source_audit import source_divergence
 from tidefeed.llm.suffix_dedup import without_repeats
 from tidefeed.llm.token_counts import line_tokens
 from tidefeed.llm.topk_search import integers, top_k, whole_vectors
@@ -97,6 +99,16 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    return restarted_trie(table(spark, sf_dir, "conversations"), start, 5, base)
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_url_filters": op1_url_filters,
@@ -109,6 +121,8 @@ def queries() -> dict:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op13_source_audit": op13_source_audit,
     }
 
 
@@ -184,10 +198,105 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
+_OP11_SQL = """
+WITH bytes AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+                ORDER BY i) AS crc
+    FROM range(256) AS r(i)
+), own AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                              coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+    SELECT c, n, c - c % 100 AS b,
+           xor(list_reduce(list_concat([4294967295::BIGINT],
+                   [ascii(x)::BIGINT for x in string_split(c::VARCHAR, '')]),
+                   lambda a, x: xor(crc[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 6 AS h
+    FROM (SELECT c, count(*) AS n FROM own GROUP BY c), bytes
+), members AS (
+    SELECT s.c, s.b, s.h, least(s.h, coalesce(t.n, 0)) AS taken,
+           least(s.h, coalesce(t.n, 0)) + greatest(s.n - s.h, 0) AS turns
+    FROM sizes s LEFT JOIN sizes t ON t.c = s.b
+), rebuilt AS (
+    SELECT m.c, i AS d, role, text FROM members m JOIN own ON own.c = m.b AND i <= taken
+    UNION ALL
+    SELECT m.c, i - h + taken, role, text FROM members m JOIN own ON own.c = m.c AND i > h
+), paths AS (
+    SELECT c, d, length(text) AS cp,
+           sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY d)) AS k
+    FROM rebuilt
+    UNION ALL
+    SELECT c, 0, 0, '' FROM members
+), nodes AS (
+    SELECT k, any_value(d) AS d, min(c) AS c, count(*) AS n, (count(*) - 1) * any_value(cp) AS saved
+    FROM paths GROUP BY k
+), links AS (
+    SELECT n.k, p.k AS parent FROM nodes n JOIN paths p ON p.c = n.c AND p.d = n.d - 1
+), children AS (
+    SELECT parent AS k, count(*) AS n_children FROM links GROUP BY parent
+), totals AS (
+    SELECT p.k, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+    FROM nodes n LEFT JOIN children x ON x.k = n.k JOIN paths p ON p.c = n.c AND p.d <= n.d
+    GROUP BY p.k
+), ends AS (
+    SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+    FROM paths JOIN members USING (c) WHERE d = turns GROUP BY k
+)
+SELECT n.c AS conv_id, n.d::BIGINT AS depth, up.c AS parent_conv_id, n.n::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+       totals.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN totals USING (k) LEFT JOIN links l ON l.k = n.k LEFT JOIN nodes up ON up.k = l.parent
+LEFT JOIN children x ON x.k = n.k LEFT JOIN ends e ON e.k = n.k"""
+
+_OP13_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS nth, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), t AS (
+    SELECT nth, lang, source, translate(unnest(terms), '{_UPPER}', '{_LOWER}') AS term FROM d
+), kept AS (
+    SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT nth) >= 3
+), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS (SELECT DISTINCT lang, source FROM d
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), counts AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v
+    FROM g JOIN kept k USING (lang) JOIN sizes USING (lang)
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+    SELECT lang, source, term, n, 1 + (1000000000 * (n + 1))
+           // (sum(n) OVER (PARTITION BY lang, source) + v)::HUGEINT AS p
+    FROM counts
+), q AS (
+    SELECT lang, term, 1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v)::HUGEINT AS q
+    FROM (SELECT lang, term, sum(n)::HUGEINT AS n, any_value(v) AS v FROM counts GROUP BY ALL)
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), best AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+    FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER
+              AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM best)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": _op1_sql(),
         "op2_ngram_jaccard": _OP2_SQL,
         "op8_exact_top_k": _OP8_SQL,
+        "op11_prefix_trie": _OP11_SQL,
+        "op13_source_audit": _OP13_SQL,
     }
