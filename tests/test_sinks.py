@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from rows import FailsOnce, Recorder, change, change_frame, lsn, recorded
 from test_ordering import skewed_feed
 from tidefeed import change_feed
-from tidefeed.operators import envelopes
-from tidefeed.streaming import Batch, ConsolePrinter, publish, sink
+from tidefeed.operators import envelopes, with_position
+from tidefeed.streaming import Batch, ConsolePrinter, DeadLetters, publish, sink
 from tidefeed.streaming import sinks
 from tidefeed.workspace import shared_folder
 
@@ -75,6 +75,99 @@ def test_steps_hold_every_row_once_and_each_group_in_order(spark):
     assert sum(step.count() for _, step in steps) == 3010
 
 
+def counted_feed(spark, rows, row_key=None):
+    """A feed whose messages are counted as they are rendered."""
+    rendered = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def render(message):
+        rendered.add(1)
+        return message
+
+    frame = change_frame(spark, [change(i, i, 2, i % 5) for i in range(1, rows + 1)]).repartition(3)
+    frame = read_back(spark, frame)
+    feed = envelopes(frame, "t", row_key=row_key)
+    return feed.withColumn("message", render("message")), rendered
+
+
+def read_back(spark, frame):
+    folder = f"{shared_folder(spark)}/tidefeed/counted-{id(frame)}"
+    frame.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@pytest.mark.parametrize("order", [["table_name"], ["table_name", "row_key"]])
+def test_each_message_is_rendered_once(spark, tmp_path, order):
+    feed, rendered = counted_feed(spark, 850, F.col("record.id"))
+    publish(feed, Recorder(tmp_path), order=order, partitions=6)
+    assert len(recorded(tmp_path)) == 850
+    assert rendered.value == 850
+
+
+def test_numbering_renders_each_message_once(spark):
+    feed, rendered = counted_feed(spark, 850)
+    assert with_position(feed, partitions=6).count() == 850
+    assert rendered.value == 850
+
+
+def test_steps_shuffle_whole_rows_once(spark):
+    feed = skewed_feed(spark, big=3000, small=5)
+    for _, step in sinks.in_steps(feed, ["table_name"], 6):
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan  # the rows were laid out by their one shuffle
+    small = in_order_of_keys(spark)
+    (_, step), = sinks.in_steps(small, ["table_name", "row_key"], 6)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY") == 1
+
+
+def in_order_of_keys(spark):
+    frame = change_frame(spark, [change(i, i, 2, i % 97) for i in range(1, 1000)])
+    return envelopes(frame, "t", row_key=F.col("record.id"))
+
+
+class Poisoned(Recorder):
+    """Takes no message with an id that ``bad`` divides; one with id 7 only at the second try."""
+
+    def __init__(self, folder, bad):
+        super().__init__(folder)
+        self.bad, self.seen = bad, set()
+
+    def process(self, row):
+        number = json.loads(row.message)["id"]
+        if number % self.bad == 0 or (number == 7 and number not in self.seen):
+            self.seen.add(number)
+            raise ValueError(f"cannot take {number}")
+        super().process(row)
+
+
+@pytest.mark.parametrize("order", [None, ["table_name"]])
+def test_a_poison_message_is_kept_and_the_others_are_published(spark, tmp_path, order):
+    (tmp_path / "out").mkdir()
+    letters = DeadLetters(str(tmp_path / "dead"), tries=2, wait=0)
+    to = sink("publisher", publisher=Poisoned(tmp_path / "out", 1000), order=order,
+              partitions=4, dead_letters=letters)
+    feed = skewed_feed(spark, 3000, 5)
+    for _ in range(2):  # a repeated batch keeps them once
+        assert to(feed, Batch("q", 3)) == {"big": lsn(429), "a": lsn(1), "z": lsn(1)}
+    ids = [json.loads(m["message"])["id"] for m in recorded(tmp_path / "out")]
+    assert set(ids) == set(range(3000)) - {0, 1000, 2000}
+    dead = letters.read(spark).collect()
+    assert sorted((r.table_name, json.loads(r.message)["id"]) for r in dead) == [
+        ("a", 0), ("big", 0), ("big", 1000), ("big", 2000), ("z", 0),
+    ]
+    assert {r.error for r in dead} == {f"ValueError: cannot take {i}" for i in (0, 1000, 2000)}
+    assert {(r.query_id, r.batch_id) for r in dead} == {("q", 3)}
+
+
+def test_a_destination_that_is_down_is_no_poison(spark, tmp_path):
+    (tmp_path / "out").mkdir()
+    letters = DeadLetters(str(tmp_path / "dead"), tries=1, most=3, wait=0)
+    with pytest.raises(Exception, match="cannot take"):
+        publish(skewed_feed(spark, 50, 0), Poisoned(tmp_path / "out", 1), order=None, dead_letters=letters)
+    assert letters.read(spark).collect() == []
+
+
 def test_publishing_nothing(spark, tmp_path):
     feed = change_feed({"t": change_frame(spark, [])})
     assert publish(feed, Recorder(tmp_path), order=None) == {}
@@ -143,7 +236,7 @@ def test_a_writer_gets_each_table_in_order_step_by_step(spark, tmp_path):
 
 
 def test_kafka_records(spark):
-    records = sinks.kafka_frame(small_feed(spark)).collect()
+    records = sinks.kafka_frame(small_feed(spark), "table_name").collect()
     assert len(records) == 7
     first = min(records, key=lambda r: (r.key, r.value))
     assert first.key == "a" and json.loads(first.value)["id"] == 1
@@ -157,6 +250,32 @@ def test_kafka_records(spark):
     }
 
 
+def test_without_a_row_key_records_have_no_key(spark):
+    assert {r.key for r in sinks.kafka_frame(small_feed(spark)).collect()} == {None}
+
+
+def test_order_per_table_makes_the_table_the_key(spark, monkeypatch):
+    keys = []
+    monkeypatch.setattr(sinks, "writer_sink", lambda write, order, partitions: (write, order))
+
+    class Written:
+        def __getattr__(self, name):
+            return self
+
+        def __call__(self, *args, **kwargs):
+            return self
+
+    def frame(feed, key=None):
+        keys.append(key)
+        return Written()
+
+    monkeypatch.setattr(sinks, "kafka_frame", frame)
+    options = {"kafka.bootstrap.servers": "x", "topic": "t"}
+    for order in (sinks.PER_TABLE, sinks.AUTO, None):
+        sinks.kafka_sink(options, order=order)[0](None, None)
+    assert keys == ["table_name", None, None]
+
+
 def test_a_large_table_spreads_over_row_keys(spark):
     frame = change_frame(spark, [change(i, i, 2, i % 50) for i in range(1, 301)])
     feed = envelopes(frame, "hot", row_key=F.col("record.id"))

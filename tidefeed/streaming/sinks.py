@@ -8,17 +8,19 @@ second pass over the feed to find out.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.operators.ordering import LOG_ORDER, by_range
-from tidefeed.workspace import new_folder, remove_folder, shared_folder
+from tidefeed.operators.ordering import LOG_ORDER, cuts_of, with_tie
+from tidefeed.workspace import new_folder, path_exists, remove_folder, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -84,6 +86,51 @@ class ConsolePrinter(Publisher):
         print(self.line(row), flush=True)
 
 
+_LETTER_ARROW = pa.schema(
+    [
+        ("table_name", pa.string()), ("event_type", pa.string()), ("message", pa.string()),
+        ("lsn", pa.binary()), ("seqval", pa.binary()), ("operation", pa.int32()),
+        ("error", pa.string()),
+    ]
+)
+
+
+class TooManyFailed(Exception):
+    """A task's publisher failed on more messages than single faulty ones explain."""
+
+
+@dataclass(frozen=True)
+class DeadLetters:
+    """A message that a publisher fails on ``tries`` times is kept in a table, and the others go on.
+
+    The table's rows are the message's own columns, ``error``, and the query, batch and step. A
+    repeated batch writes its rows again. More than ``most`` such messages in one task are taken
+    for a destination that is down: the task fails as without dead letters. Between tries the
+    task waits ``wait`` seconds, then twice as long, and so on.
+    """
+
+    path: str
+    tries: int = 3
+    most: int = 100
+    wait: float = 0.1
+
+    def folder(self, batch: Batch) -> str:
+        return f"{self.path}/query_id={batch.query_id}/batch_id={batch.batch_id}"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The letters of all batches."""
+        kinds = f"{LETTER}, query_id STRING, batch_id LONG, step INT"
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], kinds)
+        return spark.read.schema(kinds).parquet(self.path)
+
+
+LETTER = (
+    "table_name STRING, event_type STRING, message STRING, lsn BINARY, seqval BINARY, "
+    "operation INT, error STRING"
+)
+
+
 def publish(
     feed: DataFrame,
     publisher: Publisher,
@@ -91,19 +138,27 @@ def publish(
     order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
     folder: str | None = None,
+    dead_letters: DeadLetters | None = None,
+    query_id: str = "batch",
 ) -> dict[str, bytes]:
     """Hand every message of a feed to ``publisher``, and return the newest LSN per table.
 
-    ``order``, ``partitions`` and ``folder`` are those of ``in_steps``.
+    ``order``, ``partitions`` and ``folder`` are those of ``in_steps``. With ``dead_letters`` a
+    message that the publisher cannot take does not hold up the others.
     """
     newest: dict[str, bytes] = {}
-    own = None if folder else new_folder(feed.sparkSession, "slices")
+    spark = feed.sparkSession
+    own = None if folder else new_folder(spark, "slices")
+    letters = dead_letters and dead_letters.folder(Batch(query_id, epoch_id))
+    if letters:
+        remove_folder(spark, letters)  # of an attempt before this one
     try:
-        for first_id, step in in_steps(feed, order, partitions, folder or own):
-            _keep_newest(newest, _publish_step(step, publisher, epoch_id, first_id))
+        for number, (first_id, step) in enumerate(in_steps(feed, order, partitions, folder or own)):
+            kept = letters and f"{letters}/step={number}"
+            _keep_newest(newest, _publish_step(step, publisher, epoch_id, first_id, dead_letters, kept))
     finally:
         if own:
-            remove_folder(feed.sparkSession, own)
+            remove_folder(spark, own)
     return newest
 
 
@@ -121,12 +176,34 @@ def _values(column: pa.Array) -> list:
 
 
 def _publish_step(
-    feed: DataFrame, publisher: Publisher, epoch_id: int, first_id: int = 0
+    feed: DataFrame,
+    publisher: Publisher,
+    epoch_id: int,
+    first_id: int = 0,
+    dead_letters: DeadLetters | None = None,
+    letters: str | None = None,
 ) -> dict[str, bytes]:
-    """One pass: the tasks publish, and report the newest LSN per table they handled."""
+    """One pass: the tasks publish, and report the newest LSN per table they handled, and the
+    messages that failed."""
+
+    def handed_over(row: Row) -> str | None:
+        """What went wrong with a message; nothing, as a rule."""
+        if dead_letters is None:
+            publisher.process(row)
+            return None
+        for attempt in range(1, dead_letters.tries + 1):
+            try:
+                publisher.process(row)
+                return None
+            except Exception as error:
+                failure = f"{type(error).__name__}: {error}"
+                if attempt < dead_letters.tries:
+                    time.sleep(dead_letters.wait * 2 ** (attempt - 1))
+        return failure
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         newest: dict[str, bytes] = {}
+        failed: list[dict] = []
         failure = None
         try:
             wanted = publisher.open(first_id + TaskContext.get().partitionId(), epoch_id)
@@ -135,7 +212,11 @@ def _publish_step(
                 if wanted:
                     message = Row(*columns)
                     for values in zip(*columns.values()):
-                        publisher.process(message(*values))
+                        error = handed_over(message(*values))
+                        if error is not None:
+                            failed.append(dict(zip(columns, values)) | {"error": error})
+                            if len(failed) > dead_letters.most:
+                                raise TooManyFailed(error)
                 for table, lsn in zip(columns["table_name"], columns["lsn"]):
                     if lsn is not None and lsn > newest.get(table, b""):
                         newest[table] = lsn
@@ -144,14 +225,27 @@ def _publish_step(
             raise
         finally:
             publisher.close(failure)
-        tables, lsns = pa.array(newest.keys(), pa.string()), pa.array(newest.values(), pa.binary())
-        yield pa.RecordBatch.from_arrays([tables, lsns], ["table_name", "lsn"])
-
-    reports = feed.mapInArrow(run, "table_name STRING, lsn BINARY")
-    # The aggregate's shuffle stands between publishing and the result, so there is none until
-    # every task is done.
-    rows = reports.groupBy("table_name").agg(F.max("lsn").alias("lsn")).collect()
-    return {row.table_name: bytes(row.lsn) for row in rows}
+        rows = [{"table_name": t, "lsn": lsn} for t, lsn in newest.items()]
+        reported = pa.Table.from_pylist(rows + failed, _LETTER_ARROW)
+        yield from reported.to_batches()
+
+    reports = feed.mapInArrow(run, LETTER)
+    newest = F.max("lsn").alias("lsn")
+    if letters is None:
+        # The aggregate's shuffle stands between publishing and the result, so there is none until
+        # every task is done.
+        rows = reports.groupBy("table_name").agg(newest).collect()
+    else:
+        # Publishing happens as the reports are written, once; both kinds are then read from there.
+        spark, folder = feed.sparkSession, new_folder(feed.sparkSession, "reports")
+        reports.write.parquet(folder)
+        reports = spark.read.schema(LETTER).parquet(folder)
+        rows = reports.where("error IS NULL").groupBy("table_name").agg(newest).collect()
+        failed = reports.where("error IS NOT NULL")
+        if not failed.isEmpty():
+            failed.write.mode("overwrite").parquet(letters)
+        remove_folder(spark, folder)
+    return {row.table_name: bytes(row.lsn) for row in rows if row.lsn is not None}
 
 
 def in_steps(
@@ -170,7 +264,10 @@ def in_steps(
     earlier batch left. With ``None`` for ``order`` the feed is one frame as it is, with no
     shuffle.
 
-    With each frame goes a partition number that no earlier frame reaches.
+    With each frame goes a partition number that no earlier frame reaches. Each row is rendered
+    once and shuffled once: where no group is larger than a slice there is one step, which is not
+    laid out at all, and else the rows are written by step and slice, one file for each, and a
+    step's files are read whole, each by one task.
     """
     order = order_of(feed, order)
     if order is None:
@@ -178,48 +275,61 @@ def in_steps(
         return
     group = list(order)
     spark = feed.sparkSession
-    folder = folder or new_folder(spark, "slices")
-    sliced = by_range(feed, group, partitions).withColumn("_slice", F.spark_partition_id())
-    sliced.write.mode("overwrite").partitionBy("_slice").parquet(folder)
-    # Slices are contiguous ranges, so only a slice's first group, its head, can have begun in
-    # an earlier slice. Everything else is in the first step.
-    rows = spark.read.schema(sliced.schema).parquet(folder)
-
-    key = F.struct(*group)
-    ends = rows.groupBy("_slice").agg(F.min(key).alias("head"), F.max(key).alias("tail"))
-    every: list[int] = []
-    later: dict[int, list[int]] = {}
-    layout, step, before = [], 0, None
-    for end in ends.orderBy("_slice").collect():  # one row per slice
-        if before is None or before.tail != end.head:
-            step = 0
-        else:
-            step = step + 1 if before.head == before.tail else 1
-        number = end["_slice"]
-        members = later.setdefault(step, []) if step else []
-        layout.append((number, step, len(every), len(members), end.head))
-        members.append(number)
-        every.append(number)
-        before = end
-    if not layout:
+    tied = with_tie(feed)
+    cuts = cuts_of(tied, group, partitions)
+    # A slice's first cut inside a group means that the group goes on from the slice before it;
+    # the rows of that group wait for as many steps as there are such slices before.
+    steps, places, heads = [0], [0], {}
+    members = [0]
+    for number, key in enumerate(cuts.keys, 1):
+        goes_on = any(value is not None for value in key[len(group) :])
+        step = steps[-1] + 1 if goes_on else 0
+        steps.append(step)
+        if goes_on:
+            members += [0] * (step + 1 - len(members))
+            heads[number] = key[: len(group)]
+            members[step] += 1
+        places.append(members[step] - 1 if goes_on else 0)
+    in_slices = (*group, *LOG_ORDER, "_tie")
+    placed = tied.withColumn("_slice", cuts.range_of())
+    if not heads:
+        rows = placed.repartitionById(cuts.ranges, "_slice")
+        yield 0, rows.sortWithinPartitions(*in_slices).select(*feed.columns)
         return
 
-    numbers = ("_slice", "_step", "_first_place", "_later_place")
-    schema = T.StructType([T.StructField(name, T.IntegerType()) for name in numbers])
-    schema.add(ends.schema["head"])
-    # A local table's size is known, and Spark chooses the join by it.
-    slices = spark.createDataFrame(layout, schema)
-    goes_on = (F.col("_step") > 0) & key.eqNullSafe(F.col("head"))
-    in_order = (*group, *LOG_ORDER, "_tie")
-
-    first = rows.join(slices, "_slice").filter(~goes_on)
-    placed = first.repartitionById(len(every), "_first_place")
-    yield 0, placed.sortWithinPartitions(*in_order).select(*feed.columns)
-    for step, members in sorted(later.items()):
-        there = rows.filter(F.col("_slice").isin(members))
-        going_on = there.join(slices, "_slice").filter(goes_on)
-        placed = going_on.repartitionById(len(members), "_later_place")
-        yield step * len(every), placed.sortWithinPartitions(*in_order).select(*feed.columns)
+    firsts = [sum(([cuts.ranges, *members[1:]])[:step]) for step in range(len(members))]
+    schema = T.StructType([T.StructField(n, T.IntegerType()) for n in ("_slice", "_on", "_at")])
+    schema.add("_head", T.StructType([cuts.schema[name] for name in group]))
+    waits = [(n, steps[n], firsts[steps[n]] + places[n], head) for n, head in heads.items()]
+    # A row for each slice. As a local table its size is known, and Spark chooses the join by it.
+    placed = placed.join(spark.createDataFrame(waits, schema), "_slice", "left")
+    on = F.col("_on").isNotNull() & F.struct(*group).eqNullSafe(F.col("_head"))
+    placed = placed.withColumns(
+        {"_step": F.when(on, F.col("_on")).otherwise(0), "_place": F.when(on, F.col("_at")).otherwise(F.col("_slice"))}
+    )
+    placed = placed.repartitionById(cuts.ranges + len(heads), "_place")
+    folder = folder or new_folder(spark, "slices")
+    kept = (*feed.columns, "_step", "_place")
+    laid = placed.sortWithinPartitions("_step", "_place", *in_slices).select(*kept)
+    laid.write.mode("overwrite").partitionBy("_step", "_place").parquet(folder)
+    laid = spark.read.schema(laid.schema).parquet(folder)
+    with _whole_files(spark):
+        for step in range(len(members)):
+            yield step * cuts.ranges, laid.where(F.col("_step") == step).select(*feed.columns)
+
+
+@contextmanager
+def _whole_files(spark: SparkSession) -> Iterator[None]:
+    """Every file that is scanned meanwhile is one partition."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, 1 << 40)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _slices_of(feed: DataFrame, batch: Batch) -> str:
@@ -231,10 +341,13 @@ def publisher_sink(
     publisher: Publisher,
     order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
+    dead_letters: DeadLetters | None = None,
 ) -> Sink:
     def run(feed: DataFrame, batch: Batch) -> Mapping[str, bytes]:
-        folder = _slices_of(feed, batch)
-        return publish(feed, publisher, batch.batch_id, order, partitions, folder)
+        return publish(
+            feed, publisher, batch.batch_id, order, partitions, _slices_of(feed, batch),
+            dead_letters, batch.query_id,
+        )
 
     return run
 
@@ -290,9 +403,9 @@ def kafka_frame(feed: DataFrame, key: str | None = None) -> DataFrame:
     """A feed as Kafka records: the payload is the value, the rest of the envelope headers.
 
     ``key`` is the column whose messages share a Kafka partition: by default ``row_key`` where the
-    feed has one, and else the table, whose messages then all do. Readers recognise a repeated
-    message by the table, LSN, sequence value and operation; a table without ``__$seqval`` has no
-    such key.
+    feed has one. Without, there is no order to keep and no key, so that a large table spreads over
+    all Kafka partitions. Readers recognise a repeated message by the table, LSN, sequence value
+    and operation; a table without ``__$seqval`` has no such key.
     """
 
     def header(name: str) -> Column:
@@ -303,9 +416,9 @@ def kafka_frame(feed: DataFrame, key: str | None = None) -> DataFrame:
         F.col("operation").cast("string").cast("binary").alias("value"),
     )
     names = ("table_name", "event_type", "lsn", "seqval")
-    key = key or ("row_key" if "row_key" in feed.columns else "table_name")
+    key = key or ("row_key" if "row_key" in feed.columns else None)
     return feed.select(
-        F.col(key).cast("string").alias("key"),
+        (F.col(key) if key else F.lit(None)).cast("string").alias("key"),
         F.col("message").alias("value"),
         F.array(*[header(name) for name in names], operation).alias("headers"),
     )
@@ -317,7 +430,10 @@ def kafka_sink(
     order: Sequence[str] | None = AUTO,
     partitions: int | None = None,
 ) -> Sink:
-    """A Kafka topic. Messages of one ``key`` share a Kafka partition, see ``kafka_frame``."""
+    """A Kafka topic. Messages of one ``key`` share a Kafka partition, see ``kafka_frame``; with
+    ``order`` per table, the table is the key."""
+    if key is None and order is not None and tuple(order) == PER_TABLE:
+        key = "table_name"
     missing = {"kafka.bootstrap.servers", "topic"} - set(options)
     if missing:
         raise ValueError(f"a kafka sink needs the options {sorted(missing)}")
@@ -358,6 +474,7 @@ def sink(
     path: str | None = None,
     topic: str | None = None,
     options: Mapping[str, str] | None = None,
+    dead_letters: DeadLetters | None = None,
 ) -> Sink:
     """The sink of that name.
 
@@ -365,14 +482,14 @@ def sink(
     ``EventHub`` and ``ServiceBus`` need ``connection_string``: the first is written through its
     Kafka endpoint, the second has no Spark sink and needs a ``publisher`` as well. Any other
     name, or none, is the console. ``order`` and ``partitions`` are those of ``in_steps``; files
-    need no order, because their rows carry the log position.
+    need no order, because their rows carry the log position. ``dead_letters`` is for publishers.
     """
     if kind in ("EventHub", "ServiceBus") and not connection_string:
         raise ValueError(f"{kind} needs a connection string")
     if kind == "publisher" or kind == "ServiceBus":
         if publisher is None:
             raise ValueError(f"{kind} needs a publisher")
-        return publisher_sink(publisher, order, partitions)
+        return publisher_sink(publisher, order, partitions, dead_letters)
     if kind == "EventHub":
         hub = event_hub_options(connection_string, topic)
         return kafka_sink({**hub, **(options or {})}, key, order, partitions)
@@ -384,4 +501,4 @@ def sink(
         return parquet_sink(path)
     if kind not in (None, "", "Console", "console"):
         log.warning("no sink is called %r; using the console", kind)
-    return publisher_sink(ConsolePrinter(), order, partitions)
+    return publisher_sink(ConsolePrinter(), order, partitions, dead_letters)
