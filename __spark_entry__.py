@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyarrow import fs as pa_fs  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.errors import StreamingQueryException  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import fixtures as fx  # noqa: E402
@@ -44,6 +45,7 @@ from tidefeed.operators import (  # noqa: E402
     offsets_frame,
     progress,
     read_offsets,
+    retention_gaps,
     save_offsets,
     scan_changes,
     with_position,
@@ -51,6 +53,7 @@ from tidefeed.operators import (  # noqa: E402
 )
 from tidefeed.operators.changes import quoted  # noqa: E402
 from tidefeed.sources import stream_changes  # noqa: E402
+from tidefeed.streaming import Batch, DeadLetters, LoggedOffsets  # noqa: E402
 from tidefeed.streaming.sinks import kafka_frame  # noqa: E402
 from tidefeed.workspace import new_folder  # noqa: E402
 
@@ -319,10 +322,105 @@ def console_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = F.transform("headers", lambda h: F.concat_ws("=", h["key"], F.hex(h["value"])))
-    records = kafka_frame(feed_of(spark, sf_dir))
+    records = kafka_frame(feed_of(spark, sf_dir), "table_name")
     return records.select("key", "value", F.array_join(headers, ";").alias("headers"))
 
 
+class Stopped(Exception):
+    """Ends a run that is to be resumed."""
+
+
+def stream_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions that a stream of files completes by itself: after its first batch, which holds the
+    newer portion of each log while the older one is unread, and when a second run has gone on
+    from the store alone."""
+    folder = new_folder(spark, "frontier")
+    for newer in (True, False):
+        arrives(spark, sf_dir, f"{folder}/changes", newer)
+    folders = {table: f"{folder}/changes/{table}" for table in fx.FEED_TABLES}
+    offsets = f"{folder}/offsets"
+    save_offsets(spark, fx.SAVED, offsets, "start")
+    publishes = sink("parquet", path=f"{folder}/published")
+
+    def first_batch_only(feed: DataFrame, batch: Batch) -> None:
+        if batch.batch_id > 0:
+            raise Stopped
+        publishes(feed, batch)
+
+    found = []
+    for run, (to, limit) in enumerate([(first_batch_only, 1), (publishes, None)]):
+        tables = {
+            table: stream_changes(spark, path, max_files=limit, with_file=True)
+            for table, path in folders.items()
+        }
+        query = start_feed(
+            tables, to, f"{folder}/checkpoint-{run}", offsets,
+            trigger={"availableNow": True}, folders=folders,
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if to is publishes:
+                raise
+        found.append(last_lsns(read_offsets(spark, offsets), folders))
+    marks = [offsets_frame(spark, positions) for positions in found]
+    first, last = (frame.select("table_name", format_lsn("last_lsn").alias(name))
+                   for frame, name in zip(marks, ("after_first_batch", "at_the_end")))
+    told = spark.read.parquet(f"{folder}/published")
+    told = told.groupBy("table_name").agg(F.countDistinct("lsn", "seqval").alias("published"))
+    return first.join(last, "table_name").join(told, "table_name")
+
+
+def offsets_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one query that save by turns, a reset between, and what the run saves that
+    began before it."""
+    offsets = LoggedOffsets(new_folder(spark, "log"))
+    half, whole = middle(spark, sf_dir), progress(fx.change_tables(spark, sf_dir)).collect()
+    newest = {row.table_name: bytes(row.high_water) for row in whole}
+    one = other = offsets.eras(spark)
+    offsets.save(spark, {t: half[t] for t in ("events", "orders")}, "q", True, one)
+    offsets.save(spark, {"customer": newest["customer"], "events": newest["events"]}, "q", True, other)
+    offsets.save(spark, {"events": half["events"]}, "q", True, one)
+    offsets.log.reset(spark, "orders", fx.SAVED["orders"])
+    offsets.save(spark, newest, "q", True, one)
+    return shown(offsets.read(spark), "table_name", "last_lsn")
+
+
+def gap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half of each log is all that retention has left."""
+    tables = {}
+    for table, lsn in middle(spark, sf_dir).items():
+        changes = fx.change_table(spark, sf_dir, table)
+        tables[table] = changes.where(quoted(LSN) > F.lit(lsn))
+    gaps = retention_gaps(tables, fx.SAVED)
+    return gaps.select(
+        "table_name", format_lsn("saved").alias("saved"), format_lsn("oldest").alias("oldest"), "gap"
+    )
+
+
+class RefusesSome(ToFolder):
+    """Takes no message whose sequence value ends in a zero."""
+
+    def process(self, row) -> None:
+        if row.seqval[-1] == 0:
+            raise ValueError("refused")
+        super().process(row)
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a publisher got, and what it refused."""
+    folder = new_folder(spark, "letters")
+    letters = DeadLetters(f"{folder}/dead", tries=2, most=1_000_000, wait=0)
+    to = f"{folder}/got"
+    publisher = RefusesSome(to if ":" in to else f"file://{to}")
+    publish(feed_of(spark, sf_dir), publisher, dead_letters=letters)
+    schema = ", ".join(f"{name} STRING" for name in ENVELOPE)
+    got = spark.read.schema(schema).json(to)
+    got = got.withColumns({"lsn": F.concat(F.lit("0x"), F.upper("lsn")), "error": F.lit(None).cast("string")})
+    dead = shown(letters.read(spark), *ENVELOPE, "error")
+    return got.unionByName(dead)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: every table's new changes as one feed of JSON envelopes."""
     return fan_in_feed(spark, "/root/testdata/sf0.001")
@@ -381,6 +479,10 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdc_publish": published,
         "cdc_console_sink": console_sink,
         "cdc_bus_records": bus_records,
+        "cdc_stream_frontier": stream_frontier,
+        "cdc_offsets_log": offsets_log,
+        "cdc_gap_check": gap_check,
+        "cdc_dead_letters": dead_letters,
     }
 
 
@@ -401,6 +503,12 @@ def feed_oracle_sql() -> dict[str, str]:
     )
     reached = f"SELECT table_name, greatest(coalesce(newest, saved), saved) AS lsn FROM ({new})"
     whole = f"SELECT {envelope_columns} FROM ({feed})"
+    saved = "CASE table_name WHEN 'events' THEN '{}' WHEN 'orders' THEN '{}' ELSE '{}' END".format(
+        *("0x" + fx.SAVED.get(t, bytes(10)).hex().upper() for t in fx.FEED_TABLES)
+    )
+    logs = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, lsn FROM ({fx.changes_sql(table)})" for table in fx.FEED_TABLES
+    )
     return {
         "cdc_scan_decode": (
             f"SELECT lsn, operation, {fx.OPERATION_TYPE_SQL} AS operation_type, event_id "
@@ -460,4 +568,26 @@ def feed_oracle_sql() -> dict[str, str]:
             "'lsn=' || lsn[3:], 'seqval=' || seqval[3:], "
             f"'operation=' || hex(CAST(operation AS VARCHAR))) AS headers FROM ({feed})"
         ),
+        # the unread files begin right after the saved positions: nothing is complete past those
+        "cdc_stream_frontier": (
+            f"SELECT table_name, {saved} AS after_first_batch, newest AS at_the_end, published "
+            f"FROM ({new}) JOIN (SELECT table_name, count(DISTINCT lsn || seqval) AS published "
+            f"FROM ({feed}) GROUP BY table_name) USING (table_name)"
+        ),
+        "cdc_offsets_log": (
+            f"SELECT table_name, CASE table_name WHEN 'orders' THEN {saved} ELSE newest END "
+            f"AS last_lsn FROM ({new})"
+        ),
+        "cdc_gap_check": (
+            f"SELECT table_name, {saved} AS saved, oldest, "
+            f"table_name <> 'customer' AND oldest > {saved} AS gap FROM ("
+            "SELECT table_name, min(lsn) AS oldest FROM (SELECT table_name, lsn, "
+            "max(lsn) OVER (PARTITION BY table_name) AS newest "
+            f"FROM ({logs})) WHERE CAST(lsn AS BIGINT) > CAST(newest AS BIGINT) // 2 "
+            "GROUP BY table_name)"
+        ),
+        "cdc_dead_letters": (
+            f"SELECT {envelope_columns}, CASE WHEN seqval LIKE '%00' THEN 'ValueError: refused' END "
+            f"AS error FROM ({feed})"
+        ),
     }

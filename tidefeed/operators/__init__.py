@@ -10,8 +10,11 @@ from tidefeed.operators.changes import (
     with_record,
 )
 from tidefeed.operators.envelope import envelopes, fan_in
+from tidefeed.operators.gaps import RetentionGap, guard_gaps, retention_gaps
+from tidefeed.operators.offset_log import CommitConflict, OffsetLog
 from tidefeed.operators.offsets import (
     compact_offsets,
+    compact_offsets_table,
     complete_offsets,
     create_offsets_table,
     empty_offsets,
@@ -31,8 +34,12 @@ __all__ = [
     "LSN",
     "OPERATION",
     "SEQVAL",
+    "CommitConflict",
+    "OffsetLog",
+    "RetentionGap",
     "changes_since",
     "compact_offsets",
+    "compact_offsets_table",
     "complete_offsets",
     "create_offsets_table",
     "data_columns",
@@ -40,6 +47,7 @@ __all__ = [
     "envelopes",
     "fan_in",
     "feed_high_water",
+    "guard_gaps",
     "in_order",
     "last_lsns",
     "merge_offsets",
@@ -48,6 +56,7 @@ __all__ = [
     "progress",
     "read_offsets",
     "reset_offset",
+    "retention_gaps",
     "save_offsets",
     "scan_changes",
     "with_last_lsn",

@@ -20,6 +20,9 @@ SEQVAL = "__$seqval"
 OPERATION = "__$operation"
 METADATA_PREFIX = "__$"
 
+# The file that a change was read from, where a source adds it.
+SOURCE_FILE = METADATA_PREFIX + "source_file"
+
 # Fixed value: the key that holds the decoded operation in a record.
 OPERATION_KEY = "OperationType"
 
@@ -59,7 +62,8 @@ def with_record(
 
     The record starts with ``OperationType`` and goes on with the data columns. A data column
     of exactly that name replaces the decoded value and keeps the first place; one that differs
-    in case is a key of its own. ``seqval`` is null where the change table has none.
+    in case is a key of its own. ``seqval`` is null where the change table has none. Where the
+    source tells the file of a change, it comes along as ``source_file``.
     """
     wanted = data_columns(changes) if columns is None else list(columns)
     # Names that differ only in case would be ambiguous to the analyzer, so refer by position.
@@ -74,9 +78,11 @@ def with_record(
     if before_image == "drop":
         rows = rows.filter(~operation.eqNullSafe(BEFORE_IMAGE_CODE))
     seqval = column.get(SEQVAL, F.lit(None).cast("binary"))
+    file = [column[SOURCE_FILE].alias("source_file")] if SOURCE_FILE in column else []
     return rows.select(
         column[LSN].alias("lsn"),
         seqval.alias("seqval"),
         operation.alias("operation"),
         F.struct(*[value.alias(name) for name, value in fields.items()]).alias("record"),
+        *file,
     )

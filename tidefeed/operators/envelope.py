@@ -32,6 +32,7 @@ def envelopes(
     """
     records = with_record(changes, columns, before_image)
     key = [] if row_key is None else [row_key.cast("string").alias("row_key")]
+    file = ["source_file"] if "source_file" in records.columns else []
     return records.select(
         F.lit(table_name).alias("table_name"),
         F.lit(CHANGE_DETECTED).alias("event_type"),
@@ -40,6 +41,7 @@ def envelopes(
         "seqval",
         "operation",
         *key,
+        *file,
     )
 
 

@@ -149,6 +149,15 @@ def create_offsets_table(spark: SparkSession, table: str, using: str = "parquet"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({OFFSETS_SCHEMA}) USING {using}")
 
 
+def compact_offsets_table(spark: SparkSession, table: str) -> None:
+    """One row per table in a catalog table to which saves have added rows. No feed may save
+    meanwhile."""
+    columns = [f.split()[0] for f in OFFSETS_SCHEMA.split(", ")]
+    rows = merge_offsets(spark.table(table)).select(*columns).collect()  # one per table
+    frame = spark.createDataFrame([tuple(row) for row in rows], OFFSETS_SCHEMA)
+    frame.coalesce(1).write.insertInto(table, overwrite=True)
+
+
 def merge_offsets_into(spark: SparkSession, table: str, positions: Mapping[str, bytes]) -> None:
     """Upsert into a catalog table whose format supports row-level operations."""
     spark.sql(

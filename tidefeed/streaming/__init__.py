@@ -2,21 +2,36 @@
 
 from tidefeed.streaming.feed import (
     CatalogOffsets,
+    LoggedOffsets,
     Offsets,
     deliver,
     poll,
     start_feed,
     start_polling,
 )
-from tidefeed.streaming.sinks import Batch, ConsolePrinter, Publisher, Sink, publish, sink
+from tidefeed.streaming.frontier import Frontier
+from tidefeed.streaming.sinks import (
+    Batch,
+    ConsolePrinter,
+    DeadLetters,
+    Publisher,
+    Sink,
+    TooManyFailed,
+    publish,
+    sink,
+)
 
 __all__ = [
     "Batch",
     "CatalogOffsets",
     "ConsolePrinter",
+    "DeadLetters",
+    "Frontier",
+    "LoggedOffsets",
     "Offsets",
     "Publisher",
     "Sink",
+    "TooManyFailed",
     "deliver",
     "poll",
     "publish",

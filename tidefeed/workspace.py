@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _own: dict[str, str] = {}
@@ -49,3 +51,67 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """The name of a folder under the shared one that nothing has used yet."""
     return f"{shared_folder(spark)}/tidefeed/{purpose}-{uuid.uuid4().hex}"
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    named, system = _path(spark, path)
+    if not system.exists(named):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(named)]
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it is not there."""
+    named, system = _path(spark, path)
+    if not system.exists(named):
+        return None
+    try:
+        opened = system.open(named)
+    except Py4JJavaError:
+        if system.exists(named):
+            raise
+        return None
+    try:
+        return bytes(opened.readAllBytes()).decode()
+    finally:
+        opened.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless one of that name is there: then False.
+
+    It is written beside and then renamed without overwriting, which a distributed file system
+    decides for one writer. A local file system looks and then renames; there a hard link decides.
+    """
+    named, system = _path(spark, path)
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(named.toUri(), conf)
+    system.mkdirs(named.getParent())
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = system.create(beside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if system.exists(named):
+            return False
+        if system.getScheme() == "file":
+            try:
+                os.link(beside.toUri().getPath(), named.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        options = jvm.org.apache.hadoop.fs.Options.Rename
+        none = spark.sparkContext._gateway.new_array(options, 1)
+        none[0] = options.NONE
+        files.rename(beside, named, none)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception) or system.exists(named):
+            return False
+        raise
+    finally:
+        system.delete(beside, False)
