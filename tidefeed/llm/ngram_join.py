@@ -6,19 +6,20 @@
 3. Shingles are ordered by how many classes have them, rarest first. Two classes that link share
    a shingle among the first ``n - ceil(t n) + 1`` of each (their prefixes).
 4. Classes of one size and one prefix are collapsed into a group. Groups meet in the lists of
-   their prefix shingles and pass the size and the position filter.
-5. Group pairs are expanded to their members, which are verified on whole sets.
+   their prefix shingles. Lists of the same groups are one list, that of the first shingle.
+5. A list's classes are dealt out to blocks by a hash, and each pair of a list's blocks is one row.
+   Where the row arrives, its group pairs are filtered by size and position, and what is left is
+   expanded to members, which are verified on whole sets, a block against a block. A link counts
+   in the first list that its two classes share.
 
-A list of k groups would give k * k pairs. But what is asked for is who reaches whom, so a list
-first gives a few times k pairs, each group with the first ones in a few random orders, and
-groups'
-members meet their first member. This goes on among members of different components while
-it is worth it (more than a tenth of the pairs link). Then every pair of one list and different components is verified. So no link
-that would join two components is lost, and a large group of near copies costs no square.
+So every link between different sets is found and counted once, but no pair travels: a pair of
+blocks hands on how many documents each member links with, and a link for each member to one that
+it reaches in there, from which components follow.
 
 Nulls, empty texts and texts without words have no shingles and link with nothing. Rows with the
 same id and text are one document; the same id with different texts is one node of the result with
-a row for each text. A null id comes after all others.
+a row for each text. A null id comes after all others. Further columns are not read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.components import components
 from tidefeed.llm.repeats import shingle_repeats
 from tidefeed.llm.shared import (
     chunks,
+    flat,
     keyed,
     lists,
     mixed,
@@ -46,8 +48,12 @@ from tidefeed.llm.shingles import shingles
 
 #: The similarity from which documents link: 3 / 4.
 OF, PART = 4, 3
-#: Random orders in which a list's first member meets all others, in every round.
-ORDERS = 4
+#: Classes of a block, on average; blocks meet in pairs.
+BLOCK = 256
+#: Shingles in the rows of a partition that is verified, on average.
+VERIFIED = 4 << 20
+#: Columns of the matrices that are multiplied at a time.
+WIDE = 4096
 
 SETS = "id long, version long, n int, low long, high long, shingles array<long>"
 
@@ -75,121 +81,227 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _fits(n: Column, m: Column, place: Column, other: Column) -> Column:
-    """Sizes and the places of a first common shingle leave room for enough of an overlap."""
-    rest = F.least(n - place, m - other)
-    return (
-        (F.least(n, m) * OF >= F.greatest(n, m) * PART)
-        & (rest * (OF + PART) >= (n + m) * PART)
-    )
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
-    one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("in_a"))
-    other = sets.select(F.col("class").alias("b"), F.col("shingles").alias("in_b"))
-    common = F.size(F.array_intersect("in_a", "in_b"))
-    whole = F.size("in_a") + F.size("in_b") - common
-    return pairs.join(one, "a").join(other, "b").where(common * OF >= whole * PART).select("a", "b")
-
-
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(class, n, prefix, before): shared shingles of the prefix, and how many unshared precede."""
-    tokens = sets.select("class", "n", F.explode("shingles").alias("s"))
+    """(class, documents, n, before, prefix, shared): the shingles that others have too, rarest
+    first, those of them in the prefix, and how many shingles that nobody else has precede."""
+    tokens = sets.select("class", F.explode("shingles").alias("s"))
     often = tokens.groupBy("s").agg(F.count("*").alias("often")).where("often > 1")
     shared = (
         tokens.join(often, "s")
-        .groupBy("class", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("shared"))
+        .groupBy("class")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("ordered"))
     )
-    before = F.col("n") - F.size("shared")
+    before = F.col("n") - F.size("ordered")
     length = F.expr(f"n - (n * {PART} + {OF - 1}) div {OF} + 1").cast("int") - before
     return (
-        shared.withColumn("before", before)
+        shared.join(sets.select("class", "n", "documents"), "class")
+        .withColumn("before", before)
         .withColumn("length", length)
         .where("length > 0")
-        .select("class", "n", "before", F.expr("slice(shared.s, 1, length)").alias("prefix"))
-    )
+        .select(
+            "class", "documents", "n", "before",
+            F.expr("slice(ordered, 1, length)").alias("prefix"),
+            F.col("ordered.s").alias("shared"),
+        )
+    )
 
 
-def _stars(places: DataFrame, node: str, seed: int) -> DataFrame:
-    """Pairs (a, b) of each node with the first of every list it is in, in a few random orders."""
-    fields = [node, "component", "n", "place"]
-    firsts = places.groupBy("s").agg(
-        F.array_distinct(
-            F.array(
-                *[
-                    F.min(F.struct(F.xxhash64(node, F.lit(seed + i)).alias("order"), *fields))
-                    for i in range(ORDERS)
-                ]
-            )
-        ).alias("firsts")
+def _meetings(prefixes: DataFrame) -> DataFrame:
+    """Pairs of blocks (s, i, j, left, right) of every list's members; ``right`` is null where a
+    block meets itself."""
+    same = ["n", "before", F.col("prefix.s").alias("names")]
+    keyed_prefixes = prefixes.withColumn("names", F.col("prefix.s"))
+    groups = prefixes.groupBy(*same).agg(
+        F.min("class").alias("group"),
+        F.count("*").alias("classes"),
+        F.first("prefix").alias("prefix"),
     )
-    pairs = places.join(firsts.withColumn("x", F.explode("firsts")).drop("firsts"), "s")
-    return (
-        pairs.where(F.col("component") != F.col("x.component"))
-        .where(_fits(F.col("n"), F.col("x.n"), F.col("place"), F.col("x.place")))
-        .select(F.least(node, f"x.{node}").alias("a"), F.greatest(node, f"x.{node}").alias("b"))
-        .distinct()
+    groups = staged(groups, "groups")
+    places = groups.select(
+        "group", "classes", "before", F.posexplode("prefix").alias("i", "x")
+    ).select("group", "classes", (F.col("before") + F.col("i")).alias("place"), "x.often", "x.s")
+    lists_of = (
+        places.groupBy("s")
+        .agg(
+            F.min("often").alias("often"),
+            F.sum("classes").alias("members"),
+            F.bit_xor(F.xxhash64("group")).alias("one"),
+            F.bit_xor(F.xxhash64(F.lit(1), "group")).alias("other"),
+        )
+        .where("members > 1")
+        .groupBy("members", "one", "other")
+        .agg(F.min(F.struct("often", "s")).alias("first"))
+        .select("first.s", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-
-
-def _links(sets: DataFrame) -> DataFrame:
-    """Links (a, b) between classes, enough of them to connect whatever links connect."""
-    prefixes = staged(_prefixes(sets), "prefixes")
-    groups = staged(
-        prefixes.groupBy("n", "before", "prefix").agg(F.min("class").alias("group")), "groups"
+    own = (
+        places.join(staged(lists_of, "lists"), "s")
+        .groupBy("group")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "s", "place", "blocks"))).alias("own"))
     )
-    members = prefixes.join(groups, ["n", "before", "prefix"]).select("class", "group")
-    members = staged(members, "members")
-    places = groups.select(
-        "group", "n", "before", F.posexplode("prefix").alias("i", "s")
-    ).select("s", "group", "n", (F.col("before") + F.col("i")).alias("place"))
-
-    # group pairs, by the groups' first members; and each member with its group's first
-    stars = _stars(places.withColumn("component", F.col("group")), "group", 0)
-    inner = members.where("class <> `group`").select(
-        F.col("group").alias("a"), F.col("class").alias("b")
+    members = keyed_prefixes.join(groups.select("n", "before", "names", "group"), ["n", "before", "names"])
+    members = members.select("class", "documents", "n", "group", "shared")
+    rows = members.join(staged(own, "places"), "group").select(
+        "*", F.posexplode("own").alias("at", "list")
     )
-    found = staged(_verified(stars.unionAll(inner), sets), "links")
-
-    # members of different components that still meet in a list
-    seed = ORDERS
-    while True:
-        reached = members.join(
-            components(found).withColumnRenamed("id", "class"), "class", "left"
-        ).select("class", "group", F.coalesce("component", "class").alias("component"))
-        all_places = places.join(reached, "group")
-        is_open = all_places.groupBy("s").agg(
-            (F.min("component") < F.max("component")).alias("is_open")
+    member = F.struct(
+        "class", "group", "documents", F.col("n").cast("long").alias("n"),
+        F.col("list.place").cast("long").alias("place"),
+        F.expr("slice(own.s, 1, at)").alias("earlier"), "shared",
+    )
+    blocks = (
+        rows.select(
+            F.col("list.s").alias("s"), F.col("list.blocks").alias("blocks"),
+            F.pmod(F.xxhash64("class"), "list.blocks").cast("int").alias("i"), member.alias("member"),
         )
-        meeting = all_places.join(is_open.where("is_open"), "s").select(
-            "s", "class", "component", "n", "place"
-        )
-        meeting = staged(meeting, "meeting")
-        pairs = staged(_stars(meeting, "class", seed), "pairs")
-        more = staged(_verified(pairs, sets), "links")
-        found, seed = found.unionAll(more), seed + ORDERS
-        if more.count() * 10 <= pairs.count():
-            break
-    other = meeting.select(
-        "s", *[F.col(c).alias(f"{c}_2") for c in ("class", "component", "n", "place")]
+        .groupBy("s", "blocks", "i")
+        .agg(F.collect_list("member").alias("left"))
+    )
+    blocks = staged(blocks, "blocks")
+    alone = blocks.where("size(left) > 1").select(
+        "s", "i", F.col("i").alias("j"), "left", F.expr("slice(left, 1, 0)").alias("right")
+    )
+    several = blocks.where("blocks > 1")
+    ahead = several.where("i < blocks - 1").select(
+        "s", "i", "left", F.explode(F.sequence(F.col("i") + 1, F.col("blocks") - 1)).alias("j")
     )
-    pairs = (
-        meeting.join(other, "s")
-        .where("component < component_2")
-        .where(_fits(F.col("n"), F.col("n_2"), F.col("place"), F.col("place_2")))
-        .select(F.col("class").alias("a"), F.col("class_2").alias("b"))
-        .distinct()
+    right = several.select("s", F.col("i").alias("j"), F.col("left").alias("right"))
+    return alone.unionByName(ahead.join(right, ["s", "j"]))
+
+
+class _Members:
+    """The members of many rows' blocks, flat."""
+
+    def __init__(self, column: pa.Array):
+        self.ends = np.append(0, np.cumsum(flat_counts(column)))
+        members = column.flatten()
+        take = {n: members.field(n) for n in ("class", "group", "documents", "n", "place")}
+        self.values = {n: v.to_numpy(zero_copy_only=False) for n, v in take.items()}
+        self.lists = {}
+        for name in ("earlier", "shared"):
+            values, counts = flat(members.field(name))
+            self.lists[name] = (values, np.append(0, np.cumsum(counts)))
+
+    def block(self, row: int) -> slice:
+        return slice(int(self.ends[row]), int(self.ends[row + 1]))
+
+    def elements(self, name: str, of: slice) -> tuple[np.ndarray, np.ndarray]:
+        """The elements of some members' lists, and each one's member among them."""
+        values, ends = self.lists[name]
+        counts = np.diff(ends[of.start : of.stop + 1])
+        return values[ends[of.start] : ends[of.stop]], np.repeat(np.arange(len(counts)), counts)
+
+
+def flat_counts(column: pa.Array) -> np.ndarray:
+    return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _common(a, b, rows: int, columns: int) -> np.ndarray:
+    """How many elements each of ``rows`` sets has in common with each of ``columns`` sets."""
+    (x, x_of), (y, y_of) = a, b
+    both = np.intersect1d(x, y)
+    out = np.zeros((rows, columns), np.float32)
+    at = []
+    for values, of in (a, b):
+        place = np.searchsorted(both, values)
+        here = np.flatnonzero(place < len(both))
+        here = here[both[place[here]] == values[here]]
+        order = here[np.argsort(place[here], kind="stable")]
+        at.append((place[order], of[order]))
+    for first in range(0, len(both), WIDE):
+        parts = []
+        for (place, of), n in zip(at, (rows, columns), strict=True):
+            low, high = np.searchsorted(place, (first, first + WIDE))
+            matrix = np.zeros((n, min(WIDE, len(both) - first)), np.float32)
+            matrix[of[low:high], place[low:high] - first] = 1
+            parts.append(matrix)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _linked(left: _Members, a: slice, right: _Members, b: slice, alone: bool) -> np.ndarray:
+    """Which members of two blocks link, and have no earlier list in common."""
+    x, y = ({n: v[of] for n, v in m.values.items()} for m, of in ((left, a), (right, b)))
+    # group pairs first
+    groups, of = [], []
+    for side in (x, y):
+        _, first, number = np.unique(side["group"], return_index=True, return_inverse=True)
+        groups.append((side["n"][first], side["place"][first]))
+        of.append(number)
+    (n, p), (m, q) = groups
+    n, p = n[:, None], p[:, None]
+    rest = np.minimum(n - p, m - q)
+    fits = (np.minimum(n, m) * OF >= np.maximum(n, m) * PART) & (rest * (OF + PART) >= (n + m) * PART)
+    maybe = fits[of[0]][:, of[1]]
+    if alone:
+        maybe &= np.arange(len(x["n"]))[:, None] < np.arange(len(y["n"]))
+    if not maybe.any():
+        return maybe
+    shape = maybe.shape
+    common = _common(left.elements("shared", a), right.elements("shared", b), *shape)
+    whole = x["n"][:, None] + y["n"] - common
+    links = maybe & (common * OF >= whole * PART)
+    if links.any():
+        links &= _common(left.elements("earlier", a), right.elements("earlier", b), *shape) == 0
+    return links
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, links): documents that a member links with here, and one member that it reaches."""
+    for batch in batches:
+        left, right = _Members(batch.column("left")), _Members(batch.column("right"))
+        i, j = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+        out: list[list[np.ndarray]] = [[], [], []]
+        for row in range(len(batch)):
+            alone = i[row] == j[row]
+            other = left if alone else right
+            a, b = left.block(row), other.block(row)
+            links = _linked(left, a, other, b, alone)
+            if not links.any():
+                continue
+            x, y = left.values["class"][a], other.values["class"][b]
+            least = [x.copy(), y.copy()]
+            while True:  # labels of the parts that hang together here
+                far = np.iinfo(np.int64).max
+                up = np.minimum(least[0], np.where(links, least[1], far).min(1))
+                down = np.minimum(least[1], np.where(links, up[:, None], far).min(0))
+                if alone:
+                    up = down = np.minimum(up, down)
+                if (up == least[0]).all() and (down == least[1]).all():
+                    break
+                least = [up, down]
+            sums = [links @ other.values["documents"][b], left.values["documents"][a] @ links]
+            for names, reached, n in zip((x, y), least, sums, strict=True):
+                some = n > 0
+                for column, values in zip(out, (names, reached, n), strict=True):
+                    column.append(values[some])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out],
+            ["a", "b", "links"],
+        )
+
+
+def _links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect whatever links connect, and (class, links): all of a class's
+    links, by the documents that they lead to."""
+    prefixes = staged(_prefixes(sets), "prefixes")
+    meetings = _meetings(prefixes)
+    size = F.aggregate("left", F.lit(1), lambda n, m: n + F.size(m["shared"])) + F.aggregate(
+        "right", F.lit(0), lambda n, m: n + F.size(m["shared"])
     )
-    return found.unionAll(_verified(pairs, sets))
+    meetings = staged(meetings.withColumn("size", size), "meetings")
+    n = meetings.agg(F.sum("size")).first()[0] or 0
+    dealt = meetings.drop("size").repartition(max(1, -(-n // VERIFIED)), "s", "i", "j")
+    found = staged(dealt.mapInArrow(_verified, "a long, b long, links long"), "links")
+    counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    return found.where("a <> b").select("a", "b").distinct(), counts
 
 
 def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, version, n_shingles, component_id, group, rows) of each distinct document.
+    """(doc_id, version, n_shingles, component_id, n_links, group, rows) of each distinct document.
 
-    ``version`` is ``xxhash64`` of the text, ``group`` names the documents that reach each other
-    (null: alone), and ``rows`` counts the rows of the same id and text.
+    ``version`` is ``xxhash64`` of the text, ``n_links`` counts the other documents it links with,
+    copies included, ``group`` names the documents that reach each other (null: alone), and
+    ``rows`` counts the rows of the same id and text.
     """
     with scratch(docs.sparkSession):
         return staged(_similar(docs, text), "similar", keep=True)
@@ -203,22 +315,31 @@ def _similar(docs: DataFrame, text: str) -> DataFrame:
     all_sets = staged(
         all_sets.withColumn("class", F.xxhash64("n", "low", "high")).drop("low", "high"), "sets"
     )
-    heads = all_sets.groupBy("class").agg(F.min(F.struct("id", "version")).alias("head"))
+    texts = all_sets.select("id", "version", "class").distinct()
+    heads = texts.groupBy("class").agg(
+        F.min(F.struct("id", "version")).alias("head"), F.count("*").alias("documents")
+    )
     sets = (
         all_sets.join(
-            heads.select(F.col("head.id").alias("id"), F.col("head.version").alias("version")),
+            heads.select(
+                F.col("head.id").alias("id"), F.col("head.version").alias("version"), "documents"
+            ),
             ["id", "version"],
-            "left_semi",
         )
-        .select("class", "n", "shingles")
+        .select("class", "n", "documents", "shingles")
         .dropDuplicates(["class"])
     )
-    sets = staged(sets, "sets")
-    reached = components(_links(sets))
-    known = all_sets.select("id", "version", "class").distinct().join(
-        reached.withColumnRenamed("id", "class"), "class", "left"
+    links, counts = _links(staged(sets, "sets"))
+    reached = components(links)
+    known = (
+        texts.join(reached.withColumnRenamed("id", "class"), "class", "left")
+        .join(heads.select("class", "documents"), "class")
+        .join(counts, "class", "left")
     )
-    known = known.select("id", "version", F.coalesce("component", "class").alias("group"))
+    known = known.select(
+        "id", "version", F.coalesce("component", "class").alias("group"),
+        (F.coalesce("links", F.lit(0)) + F.col("documents") - 1).alias("links"),
+    )
     # a class may be some texts of one id
     least = known.groupBy("group").agg(F.min("id").alias("least"))
     found = known.join(least, "group")
@@ -227,6 +348,7 @@ def _similar(docs: DataFrame, text: str) -> DataFrame:
         "version",
         F.col("n").alias("n_shingles"),
         real_id(F.coalesce("least", "id")).alias("component_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"),
         "group",
         "rows",
     )
