@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidefeed.llm.embedding_dedup import near_duplicates
 from tidefeed.llm.ngram_join import similar_documents
 from tidefeed.llm.packing import pack_documents
+from tidefeed.llm.pitman_yor import scored_texts
 from tidefeed.llm.prefix_trie import restarted_trie
 from tidefeed.llm.secret_scan import KINDS, secrets, written
 from tidefeed.llm.sentencepiece_codec import decoded, encoded
@@ -37,7 +38,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similar_documents(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restarted_trie(table(spark, sf_dir, "conversations"), start, 5, base)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    held_out = F.crc32(number.cast("binary")) % 7 == 2
+    return scored_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
@@ -122,6 +129,7 @@ def queries() -> dict:
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_sentencepiece": op10_sentencepiece,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_lm_scoring": op12_lm_scoring,
         "op13_source_audit": op13_source_audit,
     }
 
@@ -178,8 +186,11 @@ WITH RECURSIVE words AS (
     UNION
     SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON reach.other = both_ways.x
 )
-SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id
-FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id"""
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id,
+       coalesce(any_value(c), 0) AS n_links
+FROM sizes JOIN reach USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS c FROM both_ways GROUP BY x) USING (doc_id)
+GROUP BY doc_id"""
 
 _OP8_SQL = """
 WITH v AS (

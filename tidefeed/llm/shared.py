@@ -47,13 +47,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, folder)
 
 
-def staged(frame: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
+def staged(
+    frame: DataFrame, purpose: str, keep: bool = False, by: str | None = None
+) -> DataFrame:
     """``frame``, written to the shared folder and read again.
 
     What follows survives lost executors, because it starts from files. The shuffle files of what
     came before are released (before the step too: listeners may have held the last step's plan
     until now), so that a job of many steps needs the disk of its largest step. In a ``scratch``
-    the files are deleted at its end; ``keep`` leaves them to the scratch around it, if any.
+    the files are deleted at its end; ``keep`` leaves them to the scratch around it, if any. With
+    ``by``, a column of few values, later filters on it read only those values' files.
     """
     spark = frame.sparkSession
     folder = new_folder(spark, purpose)
@@ -61,7 +64,7 @@ def staged(frame: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
     if scratches:
         scratches[-1].append(folder)
     release(spark)
-    frame.write.parquet(folder)
+    frame.write.parquet(folder, partitionBy=by)
     release(spark)
     return spark.read.schema(frame.schema).parquet(folder)
 
