@@ -28,6 +28,7 @@ row gives a result row.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,6 +43,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "random")
+#: Values that are folded together, and characters of a block of text.
+BLOCK, CHARS = 256, 4096
 #: Least length of an assigned value.
 VALUE = 8
 FALSE_FINDS = 0.05
@@ -59,41 +62,103 @@ BATTERY = 16.27
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, start: int, add: Callable[[Column, Column], Column]) -> Column:
+    """For each of some ints, what those before it come to; then what all come to.
+
+    A fold that appends to an array copies it every time. So blocks are folded alone, each from
+    what the blocks before it come to: ``BLOCK`` copies for each value, and not all before it.
+    """
+    none = F.expr("CAST(array() AS array<int>)")
+
+    def along(xs: Column, first: Column) -> Column:
+        zero = F.struct(first.cast("int").alias("at"), none.alias("all"))
+        done = F.aggregate(
+            xs, zero,
+            lambda d, x: F.struct(
+                add(d["at"], x).cast("int").alias("at"), F.concat(d["all"], F.array(d["at"])).alias("all")
+            ),
+        )
+        return done
+
+    def blocked(xs: Column) -> Column:
+        count = F.ceil(F.size(xs) / BLOCK).cast("int")
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+                          lambda i: F.slice(xs, (i - 1) * BLOCK + 1, BLOCK))
+        return _let(cut, folded)
+
+    def folded(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(start), lambda d, x: add(d, x).cast("int")))
+        return _let(along(totals, F.lit(start)), lambda ends: F.concat(
+            F.flatten(F.zip_with(blocks, ends["all"], lambda b, first: along(b, first)["all"])),
+            F.array(ends["at"]),
+        ))
+
+    return _let(values, blocked)
+
+
 def _spans(text: Column, pattern: str, kind: int) -> Column:
     """(start, kind, end, value) of all matches, in characters; an empty array without a match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>").alias("spans"),
-    )
 
-    def add(done: Column, pair: Column) -> Column:
-        begin = done["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["found"])
-        span = F.struct(
-            begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-            pair["found"].alias("value"),
-        )
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+    def placed(matches: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+        # by turns the gap before a match and the match
+        steps = F.flatten(F.zip_with(
+            between, matches, lambda g, m: F.array(F.length(g), F.length(m))
+        ))
+        return _let(_running(steps, 0, lambda at, n: at + n), lambda at: F.transform(
+            matches,
+            lambda m, i: F.struct(
+                F.get(at, 2 * i + 1).alias("start"), F.lit(kind).alias("kind"),
+                F.get(at, 2 * i + 2).alias("end"), m.alias("value"),
+            ),
+        ))
+
+    none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int,value:string>>)")
+    return F.when(F.rlike(text, F.lit(pattern)), _let(found, placed)).otherwise(none)
+
+
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no span of ``base``; both are in order of their starts.
+
+    A run overlaps one if, of the spans that start before its end, some ends after its start: a
+    binary search, and the greatest end so far.
+    """
 
-    pairs = F.zip_with(
-        F.slice(between, F.lit(1), F.size(found)), found,
-        lambda g, m: F.struct(g.alias("gap"), m.alias("found")),
-    )
-    spans = F.aggregate(pairs, start, add, lambda done: done["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(start["spans"])
+    def kept(starts: Column, ends: Column) -> Column:
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(31))])
+
+        def free(run: Column) -> Column:
+            before = F.aggregate(
+                steps, F.lit(0),
+                lambda at, step: F.when(
+                    (step <= F.size(starts) - at) & (F.get(starts, at + step - 1) < run["end"]), at + step
+                ).otherwise(at),
+            )
+            return F.get(ends, before) <= run["start"]
+
+        return F.filter(runs, free)
+
+    starts = F.transform(base, lambda b: b["start"])
+    ends = _running(F.transform(base, lambda b: b["end"]), 0, F.greatest)
+    return _let(starts, lambda s: _let(ends, lambda e: kept(s, e)))
 
 
 def _found(whole: DataFrame) -> DataFrame:
-    """(id, version, base, runs): base spans by start and kind, and runs to be tested."""
+    """(id, version, base, runs): base spans by start and kind, and runs apart from them."""
     text = F.col("text")
     assigned = F.filter(
         _spans(text, ASSIGN, 0),
         lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= VALUE,
     )
     base = F.array_sort(F.concat(assigned, _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
-    return whole.select("id", "version", base.alias("base"), _spans(text, RUN, 3).alias("runs"))
+    both = whole.select("id", "version", base.alias("base"), _spans(text, RUN, 3).alias("runs"))
+    return both.withColumn("runs", _apart(F.col("runs"), F.col("base")))
 
 
 def _alphabet() -> Column:
@@ -173,8 +238,7 @@ def _random(found: DataFrame) -> DataFrame:
     runs = (
         found.dropDuplicates(["id", "version"])
         .where("size(runs) > 0")
-        .select("id", "version", "base", F.explode("runs").alias("run"))
-        .where("NOT exists(base, b -> b.start < run.end AND run.start < b.end)")
+        .select("id", "version", F.explode("runs").alias("run"))
         .select("id", "version", "run", "run.value")
     )
     cell = F.least(F.floor(F.col("score") / SCORE_STEP), F.lit(SCORES - 1)).cast("int")
@@ -253,18 +317,25 @@ def written(spans: str | Column) -> Column:
 def redacted(text: str | Column, spans: str | Column, mask: str = "[secret]") -> Column:
     """The text with each run of overlapping spans replaced."""
     text = F.col(text) if isinstance(text, str) else text
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def add(done: Column, s: Column) -> Column:
-        gap = F.substr(text, done["at"] + 1, s["start"] - done["at"])
-        fresh = F.concat(done["parts"], F.array(gap, F.lit(mask)))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= done["at"], fresh).otherwise(done["parts"]).alias("parts"),
-        )
-
-    done = F.aggregate(
-        spans, start, add,
-        lambda d: F.concat(F.array_join(d["parts"], ""), F.substr(text, d["at"] + 1)),
-    )
+    spans = F.col(spans) if isinstance(spans, str) else spans
+    # a long text's places are counted from its beginning, those of a block from the block's
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHARS}}}"), F.lit(0))
+
+    def between(blocks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / CHARS).cast("int")
+        some = F.slice(blocks, first + 1, F.ceil(b / CHARS).cast("int") - first)
+        return F.substr(F.array_join(some, ""), a - first * CHARS + 1, b - a)
+
+    def masked(blocks: Column, ends: Column) -> Column:
+        parts = F.transform(spans, lambda s, i: F.when(
+            s["start"] >= F.get(ends, i),
+            F.concat(F.when(s["start"] > F.get(ends, i), between(blocks, F.get(ends, i), s["start"]))
+                     .otherwise(F.lit("")), F.lit(mask)),
+        ).otherwise(F.lit("")))
+        last = F.element_at(ends, -1)
+        rest = F.when(F.length(text) > last, between(blocks, last, F.length(text))).otherwise(F.lit(""))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    ends = _running(F.transform(spans, lambda s: s["end"]), 0, F.greatest)
+    done = _let(cut, lambda blocks: _let(ends, lambda e: masked(blocks, e)))
     return F.when(F.size(spans) > 0, done).otherwise(text)
