@@ -24,9 +24,11 @@ from tidefeed import (  # noqa: E402
     ConsolePrinter,
     Publisher,
     change_feed,
+    follow,
     mixed_feed_since,
     poll,
     publish,
+    read_once,
     sink,
     start_feed,
 )
@@ -34,6 +36,7 @@ from tidefeed.functions import console_line, format_lsn, operation_type, payload
 from tidefeed.operators import (  # noqa: E402
     LSN,
     OPERATION,
+    OffsetLog,
     changes_since,
     complete_offsets,
     create_offsets_table,
@@ -41,6 +44,7 @@ from tidefeed.operators import (  # noqa: E402
     envelopes,
     fan_in,
     last_lsns,
+    live_progress,
     merge_offsets,
     offsets_frame,
     progress,
@@ -53,7 +57,12 @@ from tidefeed.operators import (  # noqa: E402
 )
 from tidefeed.operators.changes import quoted  # noqa: E402
 from tidefeed.sources import stream_changes  # noqa: E402
-from tidefeed.streaming import Batch, DeadLetters, LoggedOffsets  # noqa: E402
+from tidefeed.streaming import (  # noqa: E402
+    Batch,
+    DeadLetters,
+    LoggedOffsets,
+    committed_positions,
+)
 from tidefeed.streaming.sinks import kafka_frame  # noqa: E402
 from tidefeed.workspace import new_folder  # noqa: E402
 
@@ -421,6 +430,75 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.unionByName(dead)
 
 
+#: Columns that the newer half of the events has and the older one has not, and the other way.
+ADDED, DROPPED = "props", "value"
+
+
+def schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose table gains a column and loses another while it runs."""
+    folder = new_folder(spark, "follow")
+    half = middle(spark, sf_dir)["events"]
+    changes = fx.change_table(spark, sf_dir, "events")
+    for newer in (False, True):
+        portion = changes.where((quoted(LSN) > F.lit(half)) == F.lit(newer))
+        portion = portion.drop(DROPPED if newer else ADDED)
+        portion.write.mode("append").parquet(f"{folder}/events")
+    query = follow(
+        spark, {"events": f"{folder}/events"}, sink("parquet", path=f"{folder}/published"),
+        f"{folder}/checkpoint", f"{folder}/offsets", after=fx.SAVED,
+        trigger={"availableNow": True}, max_files=1,
+    )
+    query.awaitTermination()
+    return shown(spark.read.parquet(f"{folder}/published"), *ENVELOPE)
+
+
+def replay_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader has of messages that were published once, in part, and then whole again."""
+    folder = new_folder(spark, "once")
+    feed, half = feed_of(spark, sf_dir), middle(spark, sf_dir)
+    log = OffsetLog(f"{folder}/log")
+    log.save(spark, fx.SAVED)
+    columns = [*ENVELOPE, "seqval", "operation"]
+
+    def read() -> None:
+        reader = spark.readStream.schema(feed.select(*columns).schema)
+        reader = reader.parquet(f"{folder}/messages")
+        query = read_once(reader, committed_positions(spark, log.path), buckets=4).writeStream
+        query = query.option("checkpointLocation", f"{folder}/checkpoint")
+        query.trigger(availableNow=True).start(f"{folder}/read").awaitTermination()
+
+    part = feed.where((F.col("table_name") != "customer") & (F.col("seqval") < F.lit(half["events"])))
+    for messages, reached in ((part, None), (feed, middle(spark, sf_dir)), (part, None)):
+        messages.select(*columns).write.mode("append").parquet(f"{folder}/messages")
+        read()
+        if reached:
+            log.save(spark, {"customer": reached["customer"]})
+    return shown(spark.read.parquet(f"{folder}/read"), *ENVELOPE)
+
+
+def live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a streaming query over the feed says last of each table."""
+    folder = new_folder(spark, "live")
+    for newer in (True, False):
+        arrives(spark, sf_dir, f"{folder}/changes", newer)
+    tables = {t: stream_changes(spark, f"{folder}/changes/{t}", max_files=1) for t in fx.FEED_TABLES}
+    marks = live_progress(change_feed(tables, fx.SAVED), fx.SAVED)
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/marks/batch={batch_id}")
+
+    query = marks.writeStream.outputMode("update").foreachBatch(keep)
+    query = query.option("checkpointLocation", f"{folder}/checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    said = spark.read.parquet(f"{folder}/marks").groupBy("table_name")
+    last = said.agg(F.max_by(F.struct("high_water", "changes", "behind"), "batch").alias("last"))
+    last = last.select("table_name", "last.*")
+    return last.select(
+        "table_name", format_lsn("high_water").alias("high_water"), "changes",
+        F.col("behind").cast("long").alias("behind"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: every table's new changes as one feed of JSON envelopes."""
     return fan_in_feed(spark, "/root/testdata/sf0.001")
@@ -483,6 +561,9 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdc_offsets_log": offsets_log,
         "cdc_gap_check": gap_check,
         "cdc_dead_letters": dead_letters,
+        "cdc_schema_change": schema_change,
+        "cdc_replay_once": replay_once,
+        "cdc_live_progress": live,
     }
 
 
@@ -590,4 +671,17 @@ def feed_oracle_sql() -> dict[str, str]:
             f"SELECT {envelope_columns}, CASE WHEN seqval LIKE '%00' THEN 'ValueError: refused' END "
             f"AS error FROM ({feed})"
         ),
+        "cdc_schema_change": " UNION ALL ".join(
+            "SELECT 'events' AS table_name, 'ChangeDetected' AS event_type, "
+            f"{fx.message_sql('events', without=without)} AS message, lsn FROM (SELECT *, "
+            f"CAST(max(lsn) OVER () AS BIGINT) // 2 AS half FROM ({events})) "
+            f"WHERE lsn > '0x00000000000000000064' AND CAST(lsn AS BIGINT) {than} half"
+            for without, than in ((ADDED, "<="), (DROPPED, ">"))
+        ),
+        "cdc_replay_once": whole,
+        "cdc_live_progress": (
+            "SELECT table_name, max(lsn) AS high_water, count(*) AS changes, "
+            f"CAST(max(lsn) AS BIGINT) - CAST({saved} AS BIGINT) AS behind FROM ({feed}) "
+            "GROUP BY table_name"
+        ),
     }

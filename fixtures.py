@@ -149,9 +149,10 @@ def changes_sql(table: str) -> str:
 OPERATION_TYPE_SQL = "CASE operation WHEN 2 THEN 'Insert' WHEN 4 THEN 'Update' ELSE 'Delete' END"
 
 
-def message_sql(table: str, operation_type: str = OPERATION_TYPE_SQL) -> str:
+def message_sql(table: str, operation_type: str = OPERATION_TYPE_SQL, without: str = "") -> str:
     derived = DERIVED[table]
-    pairs = ", ".join(f"'{c}', {derived.duckdb.get(c, c)}" for c in derived.columns)
+    names = [c for c in derived.columns if c != without]
+    pairs = ", ".join(f"'{c}', {derived.duckdb.get(c, c)}" for c in names)
     return f"CAST(json_object('OperationType', {operation_type}, {pairs}) AS VARCHAR)"
 
 

@@ -28,7 +28,7 @@ from tidefeed.operators.offsets import (
     with_last_lsn,
 )
 from tidefeed.operators.ordering import in_order, with_position
-from tidefeed.operators.progress import feed_high_water, progress
+from tidefeed.operators.progress import feed_high_water, live_progress, progress
 
 __all__ = [
     "LSN",
@@ -50,6 +50,7 @@ __all__ = [
     "guard_gaps",
     "in_order",
     "last_lsns",
+    "live_progress",
     "merge_offsets",
     "merge_offsets_into",
     "offsets_frame",

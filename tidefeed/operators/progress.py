@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.functions.lsn import lsn_literal, lsn_number, lsn_of_number
+from tidefeed.functions.lsn import ZERO_LSN, lsn_literal, lsn_number, lsn_of_number
 from tidefeed.operators.changes import LSN, changes_since, quoted
 from tidefeed.operators.envelope import fan_in
 
@@ -59,3 +59,27 @@ def feed_high_water(feed: DataFrame, tables: Sequence[str] = ()) -> DataFrame:
         .agg(F.max(lsn_number("lsn")).alias("number"))
         .select("table_name", lsn_of_number("number").alias("high_water"))
     )
+
+
+def live_progress(feed: DataFrame, last_lsns: Mapping[str, bytes] | None = None) -> DataFrame:
+    """One row per table of a feed, also of one that streams: ``table_name``, ``high_water``,
+    ``changes``, ``behind``.
+
+    A streaming query over it, in update mode, keeps a number and a count for each table as state,
+    and after each batch gives the rows of the tables that the batch had changes of. ``behind`` is
+    how many LSNs the newest change is past the table's position in ``last_lsns``.
+    """
+    saved = F.lit(ZERO_LSN)
+    for name, lsn in (last_lsns or {}).items():
+        saved = F.when(F.col("table_name") == name, F.lit(bytes(lsn))).otherwise(saved)
+    newest = (
+        feed.where("lsn IS NOT NULL")
+        .groupBy("table_name")
+        .agg(F.max(lsn_number("lsn")).alias("number"), F.count(F.lit(1)).alias("changes"))
+    )
+    return newest.select(
+        "table_name",
+        lsn_of_number("number").alias("high_water"),
+        "changes",
+        (F.col("number") - lsn_number(saved)).alias("behind"),
+    )

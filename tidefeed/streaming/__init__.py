@@ -9,7 +9,9 @@ from tidefeed.streaming.feed import (
     start_feed,
     start_polling,
 )
+from tidefeed.streaming.follow import follow, schema_ledger
 from tidefeed.streaming.frontier import Frontier
+from tidefeed.streaming.once import committed_positions, read_once
 from tidefeed.streaming.sinks import (
     Batch,
     ConsolePrinter,
@@ -32,9 +34,13 @@ __all__ = [
     "Publisher",
     "Sink",
     "TooManyFailed",
+    "committed_positions",
     "deliver",
+    "follow",
     "poll",
     "publish",
+    "read_once",
+    "schema_ledger",
     "sink",
     "start_feed",
     "start_polling",

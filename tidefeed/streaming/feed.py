@@ -151,11 +151,13 @@ def deliver(
     tables: tuple[str, ...] = (),
     frontier: Frontier | None = None,
     eras: Mapping[str, int] | None = None,
+    keep_files: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: the sink, then the positions.
 
     A stream takes files in the order they come in, so what the batch has seen is not complete.
-    With a ``frontier`` of its files, complete positions are saved too.
+    With a ``frontier`` of its files, complete positions are saved too. The sink does not see the
+    files, unless ``keep_files``.
     """
     known = dict(eras) if eras is not None else None
 
@@ -163,7 +165,8 @@ def deliver(
         spark = feed.sparkSession
         query_id = spark.sparkContext.getLocalProperty(QUERY_ID)
         if frontier is not None:
-            sink(feed.drop("source_file"), Batch(query_id, batch_id))
+            shown = feed if keep_files else feed.drop("source_file")
+            sink(shown, Batch(query_id, batch_id))
             reached = frontier.positions(feed, batch_id)
             if offsets is None or not reached:
                 return
@@ -192,7 +195,7 @@ def deliver(
 START_SCHEMA = "table_name STRING, last_lsn BINARY, updated_at TIMESTAMP, era INT"
 
 
-def _start(
+def start_of(
     spark: SparkSession, checkpoint: str, offsets: str | Offsets | None, tables: Mapping
 ) -> tuple[dict[str, bytes], dict[str, int] | None]:
     """Where a checkpoint starts, and the eras it started in: at the complete positions of its
@@ -251,7 +254,7 @@ def start_feed(
     spark = next(iter(tables.values())).sparkSession
     eras = None
     if after is None:
-        after, eras = _start(spark, checkpoint, offsets, tables)
+        after, eras = start_of(spark, checkpoint, offsets, tables)
     frontier = None
     if folders is not None:
         lacking = [name for name, changes in tables.items() if SOURCE_FILE not in changes.columns]
