@@ -50,6 +50,9 @@ PAIR_TEXT, WORD_TEXT = 10 << 20, 40 << 20
 BURN_IN, SAMPLES = 1, 2
 #: Strength of every restaurant.
 STRENGTH = 1.0
+#: Customers of a dish that are drawn by themselves, the share of those seated that is drawn
+#: together then, and draws at a time.
+ALONE, RUN, DRAWN = 32, 1 / 16, 1 << 20
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 MAIL = (
@@ -124,8 +127,8 @@ def pair_names(contexts: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def _merged(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct names in order, where each is found first, and the number of every name."""
-    order = np.argsort(names, kind="stable")
+    """Distinct names in order, a place of each, and the number of every name."""
+    order = np.argsort(names)
     of = names[order]
     new = np.ones(len(of), bool)
     new[1:] = of[1:] != of[:-1]
@@ -215,9 +218,11 @@ def _counted(pair_buckets: int, word_buckets: int):
 
 
 def _runs(numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    cuts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else []
+    if not len(numbers):
+        return
+    cuts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])).tolist()
     for a, b in zip(cuts, [*cuts[1:], len(numbers)], strict=True):
-        yield int(numbers[a]), int(a), int(b)
+        yield int(numbers[a]), a, b
 
 
 # Buckets: counts
@@ -308,15 +313,6 @@ class Room:
     strength: float = STRENGTH
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    low = x.copy()
-    for i in range(1, 8):
-        low *= x + i
-    z = x + 8
-    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
-    return (z - 0.5) * np.log(z) - z + 0.9189385332046727 + series - np.log(low)
-
-
 def _draws(keys: np.ndarray, salt: int) -> np.ndarray:
     """Uniform numbers between 0 and 1, by key."""
     bits = mixed(keys ^ mixed(np.array([salt], np.uint64)))
@@ -331,34 +327,41 @@ def seated(
 
     ``others``: tables of the restaurant's other dishes; ``share``: the dish's probability in the
     parent. The first customer opens a table. One of ``n`` before them at ``t`` tables opens a new
-    one with odds of (strength + discount * (others + t)) * share to n - discount * t. How many sit
-    down until the next new table is drawn at once, by the closed form of the product of odds.
+    one with odds of (strength + discount * (others + t)) * share to n - discount * t. The first
+    ``ALONE`` customers are drawn each by themselves. After them a run of customers, a share
+    ``RUN`` of those seated, is drawn together, for as many tables as are expected by then along
+    the run.
     """
     tables = np.minimum(customers, 1)
-    left, step = np.flatnonzero(customers > 1), 0
-    there = np.ones(len(left))
-    while len(left):
+    left = np.flatnonzero(customers > 1)
+    for there in range(1, ALONE):
+        if not len(left):
+            break
         t = tables[left]
         opens = (room.strength + room.discount * (others[left] + t)) * share[left]
-        stays = there - room.discount * t
-        rest = customers[left] - there
-        floor = _log_gamma(stays + opens) - _log_gamma(stays)
-
-        def none_after(n, which, stays=stays, opens=opens, floor=floor):
-            x = stays[which] + n
-            return _log_gamma(x) - _log_gamma(x + opens[which]) + floor[which]
-
-        level = np.log(_draws(keys[left], (sweep << 40) + step))
-        go = np.flatnonzero(none_after(rest, slice(None)) < level)
-        low, high = np.zeros(len(go)), rest[go]
-        while len(go) and (high - low > 1).any():
-            middle = np.floor((low + high) / 2)
-            above = none_after(middle, go) >= level[go]
-            low, high = np.where(above, middle, low), np.where(above, high, middle)
-        tables[left[go]] += 1
-        seats = there[go] + high
-        more = seats < customers[left[go]]
-        left, there, step = left[go][more], seats[more], step + 1
+        draw = _draws(keys[left], (sweep << 40) + there)
+        tables[left[draw * (there - room.discount * t + opens) < opens]] += 1
+        left = left[customers[left] > there + 1]
+    seats = np.full(len(left), ALONE, np.int64)
+    while len(left):
+        length = np.maximum(1, (seats * RUN).astype(np.int64))
+        length = np.minimum(length, customers[left] - seats)
+        some = np.cumsum(length) <= max(DRAWN, int(length[0]))  # bounded memory
+        now, size, at = left[some], length[some], seats[some]
+        of = np.repeat(np.arange(len(now)), size)
+        ahead = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        t = tables[now].astype(np.float64)
+        opens = (room.strength + room.discount * (others[now] + t)) * share[now]
+        rate = opens / (at - room.discount * t + opens)
+        t = t[of] + rate[of] * ahead
+        opens = (room.strength + room.discount * (others[now][of] + t)) * share[now][of]
+        there = at[of] + ahead
+        draw = _draws(keys[now][of] + mixed(there.astype(np.uint64)), sweep << 40)
+        new = draw * (there - room.discount * t + opens) < opens
+        tables[now] += np.bincount(of[new], minlength=len(now))
+        seats[some] += size
+        go = seats < customers[left]
+        left, seats = left[go], seats[go]
     return tables
 
 
