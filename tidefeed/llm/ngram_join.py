@@ -8,9 +8,10 @@
 4. Classes of one size and one prefix are collapsed into a group. Groups meet in the lists of
    their prefix shingles. Lists of the same groups are one list, that of the first shingle.
 5. A list's classes are dealt out to blocks by a hash, and each pair of a list's blocks is one row.
-   Where the row arrives, its group pairs are filtered by size and position, and what is left is
-   expanded to members, which are verified on whole sets, a block against a block. A link counts
-   in the first list that its two classes share.
+   Two classes belong to the last list that they share, the most frequent one, where most of their
+   like are. First group pairs are filtered by this, by size and by position, without sets. Then
+   the members that are left in a list meet again with their whole sets, and are verified, a block
+   against a block.
 
 So every link between different sets is found and counted once, but no pair travels: a pair of
 blocks hands on how many documents each member links with, and a link for each member to one that
@@ -24,11 +25,11 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.components import components
@@ -106,9 +107,9 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     )
 
 
-def _meetings(prefixes: DataFrame) -> DataFrame:
-    """Pairs of blocks (s, i, j, left, right) of every list's members; ``right`` is null where a
-    block meets itself."""
+def _places(prefixes: DataFrame) -> DataFrame:
+    """(s, blocks, i, class, group, n, place, later): each class in each of its lists, the block it
+    is dealt to, its place in the order of shingles, and its lists after this one."""
     same = ["n", "before", F.col("prefix.s").alias("names")]
     keyed_prefixes = prefixes.withColumn("names", F.col("prefix.s"))
     groups = prefixes.groupBy(*same).agg(
@@ -139,24 +140,28 @@ def _meetings(prefixes: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("often", "s", "place", "blocks"))).alias("own"))
     )
     members = keyed_prefixes.join(groups.select("n", "before", "names", "group"), ["n", "before", "names"])
-    members = members.select("class", "documents", "n", "group", "shared")
-    rows = members.join(staged(own, "places"), "group").select(
-        "*", F.posexplode("own").alias("at", "list")
-    )
-    member = F.struct(
-        "class", "group", "documents", F.col("n").cast("long").alias("n"),
+    members = members.select("class", "n", "group").join(own, "group")
+    rows = members.select("*", F.posexplode("own").alias("at", "list")).select(
+        F.col("list.s").alias("s"),
+        F.col("list.blocks").alias("blocks"),
+        F.pmod(F.xxhash64("class"), "list.blocks").cast("int").alias("i"),
+        "class",
+        "group",
+        F.col("n").cast("long").alias("n"),
         F.col("list.place").cast("long").alias("place"),
-        F.expr("slice(own.s, 1, at)").alias("earlier"), "shared",
-    )
-    blocks = (
-        rows.select(
-            F.col("list.s").alias("s"), F.col("list.blocks").alias("blocks"),
-            F.pmod(F.xxhash64("class"), "list.blocks").cast("int").alias("i"), member.alias("member"),
-        )
-        .groupBy("s", "blocks", "i")
-        .agg(F.collect_list("member").alias("left"))
-    )
-    blocks = staged(blocks, "blocks")
+        F.expr("slice(own.s, at + 2, size(own))").alias("later"),
+    )
+    return staged(rows, "places")
+
+
+FIELDS = ("class", "group", "n", "place", "later")
+
+
+def _paired(rows: DataFrame, fields: Sequence[str], purpose: str) -> DataFrame:
+    """Pairs of blocks (s, i, j, left, right) of every list's members; ``right`` is empty where a
+    block meets itself."""
+    blocks = rows.groupBy("s", "blocks", "i").agg(F.collect_list(F.struct(*fields)).alias("left"))
+    blocks = staged(blocks, purpose)
     alone = blocks.where("size(left) > 1").select(
         "s", "i", F.col("i").alias("j"), "left", F.expr("slice(left, 1, 0)").alias("right")
     )
@@ -174,12 +179,14 @@ class _Members:
     def __init__(self, column: pa.Array):
         self.ends = np.append(0, np.cumsum(flat_counts(column)))
         members = column.flatten()
-        take = {n: members.field(n) for n in ("class", "group", "documents", "n", "place")}
-        self.values = {n: v.to_numpy(zero_copy_only=False) for n, v in take.items()}
-        self.lists = {}
-        for name in ("earlier", "shared"):
-            values, counts = flat(members.field(name))
-            self.lists[name] = (values, np.append(0, np.cumsum(counts)))
+        self.values, self.lists = {}, {}
+        for field in members.type:
+            values = members.field(field.name)
+            if pa.types.is_list(field.type):
+                values, counts = flat(values)
+                self.lists[field.name] = (values, np.append(0, np.cumsum(counts)))
+            else:
+                self.values[field.name] = values.to_numpy(zero_copy_only=False)
 
     def block(self, row: int) -> slice:
         return slice(int(self.ends[row]), int(self.ends[row + 1]))
@@ -218,8 +225,8 @@ def _common(a, b, rows: int, columns: int) -> np.ndarray:
     return out
 
 
-def _linked(left: _Members, a: slice, right: _Members, b: slice, alone: bool) -> np.ndarray:
-    """Which members of two blocks link, and have no earlier list in common."""
+def _candidates(left: _Members, a: slice, right: _Members, b: slice, alone: bool) -> np.ndarray:
+    """Which members of two blocks belong to this list and may link."""
     x, y = ({n: v[of] for n, v in m.values.items()} for m, of in ((left, a), (right, b)))
     # group pairs first
     groups, of = [], []
@@ -229,32 +236,56 @@ def _linked(left: _Members, a: slice, right: _Members, b: slice, alone: bool) ->
         of.append(number)
     (n, p), (m, q) = groups
     n, p = n[:, None], p[:, None]
-    rest = np.minimum(n - p, m - q)
-    fits = (np.minimum(n, m) * OF >= np.maximum(n, m) * PART) & (rest * (OF + PART) >= (n + m) * PART)
+    most = np.minimum(p, q) + 1 + np.minimum(n - p, m - q) - 1
+    fits = (np.minimum(n, m) * OF >= np.maximum(n, m) * PART) & (most * (OF + PART) >= (n + m) * PART)
     maybe = fits[of[0]][:, of[1]]
     if alone:
         maybe &= np.arange(len(x["n"]))[:, None] < np.arange(len(y["n"]))
+    if maybe.any():
+        later = left.elements("later", a), right.elements("later", b)
+        maybe &= _common(*later, *maybe.shape) == 0
+    return maybe
+
+
+def _linked(left: _Members, a: slice, right: _Members, b: slice, alone: bool) -> np.ndarray:
+    """Which members of two blocks link, in the list that they belong to."""
+    maybe = _candidates(left, a, right, b, alone)
     if not maybe.any():
         return maybe
-    shape = maybe.shape
-    common = _common(left.elements("shared", a), right.elements("shared", b), *shape)
-    whole = x["n"][:, None] + y["n"] - common
-    links = maybe & (common * OF >= whole * PART)
-    if links.any():
-        links &= _common(left.elements("earlier", a), right.elements("earlier", b), *shape) == 0
-    return links
+    n, m = left.values["n"][a][:, None], right.values["n"][b]
+    common = _common(left.elements("shared", a), right.elements("shared", b), *maybe.shape)
+    return maybe & (common * OF >= (n + m - common) * PART)
+
+
+def _meetings(batch: pa.RecordBatch):
+    """(row, left, its block, right, its block, whether they are one) of each row."""
+    left, right = _Members(batch.column("left")), _Members(batch.column("right"))
+    i, j = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+    for row in range(len(batch)):
+        alone = bool(i[row] == j[row])
+        other = left if alone else right
+        yield row, left, left.block(row), other, other.block(row), alone
+
+
+def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s, class): the members of each list that may link with another one there."""
+    for batch in batches:
+        lists_of = batch.column("s").to_numpy()
+        s, classes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for row, left, a, right, b, alone in _meetings(batch):
+            maybe = _candidates(left, a, right, b, alone)
+            for members, of, some in ((left, a, maybe.any(1)), (right, b, maybe.any(0))):
+                classes.append(members.values["class"][of][some])
+                s.append(np.full(len(classes[-1]), lists_of[row]))
+        columns = [pa.array(np.concatenate(c), pa.int64()) for c in (s, classes)]
+        yield pa.RecordBatch.from_arrays(columns, ["s", "class"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, links): documents that a member links with here, and one member that it reaches."""
     for batch in batches:
-        left, right = _Members(batch.column("left")), _Members(batch.column("right"))
-        i, j = batch.column("i").to_numpy(), batch.column("j").to_numpy()
         out: list[list[np.ndarray]] = [[], [], []]
-        for row in range(len(batch)):
-            alone = i[row] == j[row]
-            other = left if alone else right
-            a, b = left.block(row), other.block(row)
+        for _, left, a, other, b, alone in _meetings(batch):
             links = _linked(left, a, other, b, alone)
             if not links.any():
                 continue
@@ -280,17 +311,26 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _dealt(meetings: DataFrame, size: Column) -> DataFrame:
+    """The meetings in partitions of about ``VERIFIED`` elements."""
+    n = meetings.agg(F.sum(size)).first()[0] or 0
+    return meetings.repartition(max(1, -(-n // VERIFIED)), "s", "i", "j")
+
+
 def _links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that connect whatever links connect, and (class, links): all of a class's
     links, by the documents that they lead to."""
     prefixes = staged(_prefixes(sets), "prefixes")
-    meetings = _meetings(prefixes)
-    size = F.aggregate("left", F.lit(1), lambda n, m: n + F.size(m["shared"])) + F.aggregate(
+    places = _places(prefixes)
+    needed = _dealt(_paired(places, FIELDS, "narrow"), F.size("left") + F.size("right"))
+    needed = staged(needed.mapInArrow(_needed, "s long, class long").distinct(), "needed")
+    rows = places.join(needed, ["s", "class"]).join(
+        prefixes.select("class", "documents", "shared"), "class"
+    )
+    size = F.aggregate("left", F.lit(0), lambda n, m: n + F.size(m["shared"])) + F.aggregate(
         "right", F.lit(0), lambda n, m: n + F.size(m["shared"])
     )
-    meetings = staged(meetings.withColumn("size", size), "meetings")
-    n = meetings.agg(F.sum("size")).first()[0] or 0
-    dealt = meetings.drop("size").repartition(max(1, -(-n // VERIFIED)), "s", "i", "j")
+    dealt = _dealt(_paired(rows, (*FIELDS, "documents", "shared"), "blocks"), size)
     found = staged(dealt.mapInArrow(_verified, "a long, b long, links long"), "links")
     counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     return found.where("a <> b").select("a", "b").distinct(), counts
