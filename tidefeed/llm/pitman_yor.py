@@ -19,7 +19,8 @@ How it is dealt out:
 3. Parcels get for each of their pairs what it holds beyond its discount, and for each of their
    words its count, its probability in the parent and what its own restaurant leaves to the parent.
 
-Words are 64-bit hashes, as are pairs. Draws depend on the pair and the sweep alone, so a repeated
+Words are 64-bit hashes; pairs are hashes of two names of 48 bits, the first ones of their words'.
+Draws depend on the pair and the sweep alone, so a repeated
 task draws the same. ``docs`` is read twice and has to come in the same partitions both times, as
 files do; if it does not, the lists differ in length and the job fails.
 
@@ -54,6 +55,8 @@ STRENGTH = 1.0
 #: together then, and draws at a time.
 ALONE, RUN, DRAWN = 32, 1 / 16, 1 << 20
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+#: Bits of a word's name that pairs do without, and tokens that are scored at a time.
+SHORT, SCORED = np.uint64(16), 1 << 18
 
 MAIL = (
     "at long, kind int, other long, x array<long>, y array<long>, z array<long>, "
@@ -132,8 +135,8 @@ def _merged(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     of = names[order]
     new = np.ones(len(of), bool)
     new[1:] = of[1:] != of[:-1]
-    number = np.empty(len(of), np.int64)
-    number[order] = np.cumsum(new) - 1
+    number = np.empty(len(of), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
     return of[new], order[new], number
 
 
@@ -172,16 +175,22 @@ class _Tokens:
                 counts.append(part[1])
         self.counts = np.concatenate(counts) + 1  # the end is a token
         ends = np.cumsum(self.counts)
-        self.after = np.full(int(ends[-1]), END, np.uint64)
-        inside = np.ones(len(self.after), bool)
-        inside[ends - 1] = False
-        self.after[inside] = np.concatenate(hashes)
-        self.context = np.empty_like(self.after)
-        self.context[1:] = self.after[:-1]
-        self.context[ends - self.counts] = START
-        self.pairs, self.pair_at, self.pair = _merged(pair_names(self.context, self.after))
-        self.words, _, self.word = _merged(np.append(self.after, START))
-        self.word, self.start = self.word[:-1], self.word[-1]
+        after = np.full(int(ends[-1]) + 1, END, np.uint64)
+        inside = np.ones(len(after), bool)
+        inside[ends - 1] = inside[-1] = False
+        after[inside] = np.concatenate(hashes)
+        after[-1] = START
+        del hashes, inside
+        self.words, _, word = _merged(after)
+        self.word, self.start = word[:-1], int(word[-1])
+        after >>= SHORT
+        self.starts = ends - self.counts
+        context = np.empty(len(self.word), np.uint64)
+        context[1:] = after[:-2]
+        context[self.starts] = START >> SHORT
+        after = after[:-1]
+        self.pairs, at, self.pair = _merged(pair_names(context, after))
+        self.contexts, self.after = context[at], after[at]
 
 
 def _counted(pair_buckets: int, word_buckets: int):
@@ -192,12 +201,13 @@ def _counted(pair_buckets: int, word_buckets: int):
         often = np.bincount(t.pair[learnt], minlength=len(t.pairs))
         word_often = np.bincount(t.word[learnt], minlength=len(t.words))
         word_often[t.start] = (~held.astype(bool)).sum()  # texts that begin
-        contexts = t.context[t.pair_at].view(np.int64)
-        after = t.after[t.pair_at].view(np.int64)
+        # two names of 48 bits in 64 and 32
+        both = ((t.contexts << np.uint64(16)) | (t.after >> np.uint64(32))).view(np.int64)
+        low = (t.after & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         rows = []
         for at, a, b in _runs(bucket_of(t.pairs, pair_buckets)):
-            rows.append({"at": at, "kind": SENT, "other": parcel, "x": contexts[a:b],
-                         "y": after[a:b], "z": often[a:b]})
+            rows.append({"at": at, "kind": SENT, "other": parcel, "x": both[a:b],
+                         "gaps": low[a:b], "z": often[a:b]})
         for at, a, b in _runs(bucket_of(t.words, word_buckets)):
             rows.append({"at": pair_buckets + at, "kind": SENT, "other": parcel,
                          "x": t.words[a:b].view(np.int64), "z": word_often[a:b]})
@@ -239,8 +249,11 @@ def _gathered(pair_buckets: int, word_buckets: int):
         ends = np.append(0, np.cumsum(sizes))
         is_pair = at < pair_buckets
         if is_pair:
-            after, _ = flat(got.column("y"))
-            keys = pair_names(first.view(np.uint64), after.view(np.uint64))
+            low, _ = flat(got.column("gaps"))
+            first = first.view(np.uint64)
+            after = (first & np.uint64(0xFFFF)) << np.uint64(32) | low.view(np.uint32)
+            first = first >> np.uint64(16)
+            keys = pair_names(first, after)
         else:
             at -= pair_buckets
             keys = first.view(np.uint64)
@@ -253,7 +266,7 @@ def _gathered(pair_buckets: int, word_buckets: int):
         if not is_pair:
             rows.append({"at": at, "kind": WORDS, "x": keys.view(np.int64), "y": counts})
             return _mail(rows)
-        contexts, after = first[where], after[where]
+        contexts, after = first[where].view(np.int64), after[where].view(np.int64)
         once, more = counts == 1, np.flatnonzero(counts > 1)
         rows.append({"at": at, "kind": PAIRS, "x": counts})
         rows.append({"at": at, "kind": MULTI, "x": contexts[more], "y": after[more],
@@ -263,11 +276,11 @@ def _gathered(pair_buckets: int, word_buckets: int):
         n = int(once.sum())
         of = np.bincount(number[:n], minlength=len(names))
         dishes = np.bincount(number[n:], minlength=len(names))
-        for to, a, b in _runs(bucket_of(names, word_buckets)):
+        for to, a, b in _runs(bucket_of(names << SHORT, word_buckets)):
             rows.append({"at": to, "kind": ONES, "other": at, "x": names[a:b].view(np.int64),
                          "y": dishes[a:b], "z": of[a:b]})
         names = _known(contexts[more], after[more])
-        for to, a, b in _runs(bucket_of(names, word_buckets)):
+        for to, a, b in _runs(bucket_of(names << SHORT, word_buckets)):
             rows.append({"at": to, "kind": ASKS, "other": at, "x": names[a:b].view(np.int64)})
         return _mail(rows)
 
@@ -287,9 +300,10 @@ def _settled(got: pa.Table) -> pa.Table:
     box = _Box(got)
     names, counts = box.one(WORDS, "x", "y")
     names = names.view(np.uint64)
+    short = names >> SHORT
     ones = np.zeros((2, len(names)), np.int64)
     for row in box.rows(ONES):
-        where = np.searchsorted(names, box.list(row, "x").view(np.uint64))
+        where = np.searchsorted(short, box.list(row, "x").view(np.uint64))
         ones[0, where] += box.list(row, "y")
         ones[1, where] += box.list(row, "z")
     at = got.column("at")[0].as_py()
@@ -297,7 +311,7 @@ def _settled(got: pa.Table) -> pa.Table:
              "customers": int(counts[names != START].sum()),
              "tables": int((counts[names != START] > 0).sum())}]
     for row in box.rows(ASKS):
-        where = np.searchsorted(names, box.list(row, "x").view(np.uint64))
+        where = np.searchsorted(short, box.list(row, "x").view(np.uint64))
         rows.append({"at": at, "kind": ASKS, "other": int(box.other[row]), "gaps": _gaps(where)})
     return _mail(rows)
 
@@ -422,7 +436,7 @@ def _seated_pairs(sweep: int, word_buckets: int, room: Room, parent: Room, types
             tables = seated(counts, own[context] - tables, share[dish], room, keys, sweep)
         rows = [{"at": at, "kind": TABLES, "x": tables}]
         sums = [np.bincount(i, tables, len(names)).astype(np.int64) for i in (dish, context)]
-        for to, a, b in _runs(bucket_of(names, word_buckets)):
+        for to, a, b in _runs(bucket_of(names << SHORT, word_buckets)):
             rows.append({"at": to, "kind": TALLY, "other": at, "x": sums[0][a:b], "y": sums[1][a:b]})
         return _mail(rows)
 
@@ -495,24 +509,25 @@ def _scored(room: Room, n: int, types: int):
         ).astype(np.float64)
         if len(worth) != len(t.pairs) or len(counts) != len(t.words):
             raise ValueError("the documents came in other partitions when read again")
-        ends = np.cumsum(t.counts)
-        before = np.empty_like(t.word)
-        before[1:] = t.word[:-1]
-        before[ends - t.counts] = t.start
-        own = worth[t.pair].astype(np.float64)
-        left = sum(values[i + 1][before] * values[i][t.word] for i in range(0, 2 * SAMPLES, 2))
-        p = (own + left / SAMPLES) / (room.strength + counts[before])
-        known = counts[t.word]
-        base = np.log10((known + 1) / (n + types + 1))
-        starts = ends - t.counts
+        scores = np.zeros((3, len(t.word)))
+        for a in range(0, len(t.word), SCORED):
+            word, pair = t.word[a : a + SCORED], t.pair[a : a + SCORED]
+            before = np.append(t.word[a - 1] if a else t.start, word[:-1])
+            low, high = np.searchsorted(t.starts, (a, a + len(word)))
+            before[t.starts[low:high] - a] = t.start
+            left = sum(values[i + 1][before] * values[i][word] for i in range(0, 2 * SAMPLES, 2))
+            p = (worth[pair] + left / SAMPLES) / (room.strength + counts[before])
+            known = counts[word]
+            scores[:, a : a + len(word)] = known > 0, np.log10((known + 1) / (n + types + 1)), np.log10(p)
+        known, base, score = np.add.reduceat(scores, t.starts, axis=1)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "held_out": docs.column("held_out"),
                 "n_tokens": t.counts,
-                "n_known": np.add.reduceat((known > 0).astype(np.int64), starts),
-                "base_score": np.add.reduceat(base, starts),
-                "score": np.add.reduceat(np.log10(p), starts),
+                "n_known": known.astype(np.int64),
+                "base_score": base,
+                "score": score,
             }
         )
 
