@@ -145,6 +145,19 @@ def _offsets(offsets: str | Offsets) -> Offsets:
     return Offsets(offsets) if isinstance(offsets, str) else offsets
 
 
+def _save(
+    store: Offsets,
+    spark: SparkSession,
+    positions: Mapping[str, bytes],
+    query_id: str,
+    complete: bool,
+    eras: Mapping[str, int] | None,
+) -> None:
+    """A save; only stores that tell eras are given any."""
+    told = () if eras is None else (eras,)
+    store.save(spark, positions, query_id, complete, *told)
+
+
 def deliver(
     sink: Sink,
     offsets: str | Offsets | None = None,
@@ -176,7 +189,7 @@ def deliver(
                 store.take_back(spark, back, query_id)
                 if known is not None:
                     known.update({table: known.get(table, 0) + 1 for table in back})
-            store.save(spark, reached, query_id, True, known)
+            _save(store, spark, reached, query_id, True, known)
             return
         batch = Batch(query_id, batch_id, tables)
         newest = sink(feed.drop("source_file"), batch)
@@ -186,7 +199,7 @@ def deliver(
             marks = feed_high_water(feed, tables).filter("high_water IS NOT NULL").collect()
             newest = {row.table_name: bytes(row.high_water) for row in marks}
         if newest:
-            _offsets(offsets).save(spark, newest, batch.query_id, False, known)
+            _save(_offsets(offsets), spark, newest, batch.query_id, False, known)
 
     return run
 
@@ -325,7 +338,7 @@ def poll(
     fresh = {name: tables[name] for name in reached}
     feed = change_feed(fresh, saved, reached, **envelope_options)
     sink(feed, Batch(query_id, batch_id))
-    store.save(spark, reached, query_id, True, eras)
+    _save(store, spark, reached, query_id, True, eras)
     return reached
 
 
