@@ -106,9 +106,8 @@ def near_copies(n, words=60, seed=2):
     return rows
 
 
-@pytest.mark.parametrize("block", [256, 16])
-def test_every_link_of_a_group_of_near_copies_counts(docs, monkeypatch, block):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+def test_every_link_of_a_group_of_near_copies_counts(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
     rows = near_copies(150) + near_copies(80, words=200, seed=3) + [(500, prose(2, 60))]
     rows = [(i, t) for i, (_, t) in enumerate(dict.fromkeys(rows))]
     found = similar_documents(docs(rows)).select(*SIMILAR).collect()
@@ -118,7 +117,7 @@ def test_every_link_of_a_group_of_near_copies_counts(docs, monkeypatch, block):
 def test_no_pairs_travel_for_a_group_of_near_copies(docs, monkeypatch):
     """Rows between the steps grow with the documents, not with their pairs."""
     counts = {}
-    for n in (200, 800):
+    for n in (100, 400):
         made = []
 
         def counting(frame, purpose, *args, **kwargs):
@@ -129,7 +128,7 @@ def test_no_pairs_travel_for_a_group_of_near_copies(docs, monkeypatch):
         monkeypatch.setattr(ngram_join, "staged", counting)
         similar_documents(docs(near_copies(n)))
         counts[n] = max(made)
-    assert counts[800] <= 4.5 * counts[200]
+    assert counts[400] <= 4.5 * counts[100]
 
 
 def test_similar_documents_on_a_test_table(spark, sf_dir):

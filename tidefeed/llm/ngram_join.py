@@ -268,17 +268,29 @@ def _meetings(batch: pa.RecordBatch):
 
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(s, class): the members of each list that may link with another one there."""
+    """(s, i, classes): the members of a list's block that may link with another one here."""
     for batch in batches:
-        lists_of = batch.column("s").to_numpy()
-        s, classes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        i, j = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+        kept, rows, blocks = [], [], []
         for row, left, a, right, b, alone in _meetings(batch):
             maybe = _candidates(left, a, right, b, alone)
-            for members, of, some in ((left, a, maybe.any(1)), (right, b, maybe.any(0))):
-                classes.append(members.values["class"][of][some])
-                s.append(np.full(len(classes[-1]), lists_of[row]))
-        columns = [pa.array(np.concatenate(c), pa.int64()) for c in (s, classes)]
-        yield pa.RecordBatch.from_arrays(columns, ["s", "class"])
+            sides = [maybe.any(1), maybe.any(0)]
+            if alone:
+                sides = [sides[0] | sides[1]]
+            for members, of, block, some in zip((left, right), (a, b), (i, j), sides):
+                if some.any():
+                    kept.append(members.values["class"][of][some])
+                    rows.append(row)
+                    blocks.append(block[row])
+        every = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("s").take(pa.array(rows, pa.int64())),
+                pa.array(blocks, pa.int32()),
+                lists(every, np.array([len(k) for k in kept], np.int64)),
+            ],
+            ["s", "i", "classes"],
+        )
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +335,10 @@ def _links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefixes = staged(_prefixes(sets), "prefixes")
     places = _places(prefixes)
     needed = _dealt(_paired(places, FIELDS, "narrow"), F.size("left") + F.size("right"))
-    needed = staged(needed.mapInArrow(_needed, "s long, class long").distinct(), "needed")
+    needed = needed.mapInArrow(_needed, "s long, i int, classes array<long>")
+    every = F.array_distinct(F.flatten(F.collect_list("classes")))
+    needed = needed.groupBy("s", "i").agg(every.alias("classes"))
+    needed = staged(needed.select("s", F.explode("classes").alias("class")), "needed")
     rows = places.join(needed, ["s", "class"]).join(
         prefixes.select("class", "documents", "shared"), "class"
     )
