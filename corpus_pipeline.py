@@ -17,6 +17,10 @@ from tidefeed.llm.suffix_dedup import without_repeats
 from tidefeed.llm.toxicity import toxicity
 
 
+#: U+FFFD, and three noncharacters, which no text has, in its place.
+REPLACEMENT, ASIDE = "\ufffd", "\uffff\ufffe\uffff"
+
+
 def _with_text(docs: DataFrame, joined: DataFrame, text: Column) -> DataFrame:
     """The columns of ``docs`` with another text, and its length where there is a column for it."""
     columns = []
@@ -70,8 +74,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     cut = staged(cut, "cut").dropDuplicates(["doc_id", "version"])
     joined = docs.join(cut, same_row(docs, cut), "left")
-    valid = F.make_valid_utf8(cut["rest"].cast("string"))
-    rest = F.replace(valid, F.lit("�"), F.lit(""))
+    # what a cut left incomplete becomes U+FFFD and goes; those of the text itself stand aside
+    aside = F.replace(cut["rest"].cast("string"), F.lit(REPLACEMENT), F.lit(ASIDE))
+    whole = F.replace(F.make_valid_utf8(aside), F.lit(REPLACEMENT), F.lit(""))
+    rest = F.replace(whole, F.lit(ASIDE), F.lit(REPLACEMENT))
     left = joined.where(cut["rest"].isNull() | (F.octet_length(cut["rest"]) > 0))
     return _with_text(docs, left, F.when(cut["rest"].isNotNull(), rest).otherwise(docs["text"]))
 

@@ -75,6 +75,15 @@ def test_awkward_rows_pass_through(spark, docs, labelled):
     assert after.count() > 0
 
 
+def test_a_text_keeps_its_own_replacement_characters(spark, docs):
+    passage = "Ein Satz mit é und 漢字, der in beiden Texten steht und länger als fünfzig Bytes ist. "
+    rows = [(1, passage), (2, "a\ufffdb " + passage + "c\ufffd"), (3, "字" * 30), (4, "漢\ufffd" + "字" * 30 + "学")]
+    got = {r.doc_id: r.text for r in p.cut_repeats(spark, docs(rows), "").collect()}
+    assert got[1] == passage and got[2] == "a\ufffdb c\ufffd"
+    # of the last character two bytes are repeated ones, and the third is none by itself
+    assert got[4] == "漢\ufffd"
+
+
 def test_no_documents(spark, docs, labelled):
     for _, _, after in stages(spark, docs([]), labelled):
         assert after.count() == 0
