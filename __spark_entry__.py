@@ -425,7 +425,7 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(feed_of(spark, sf_dir), publisher, dead_letters=letters)
     schema = ", ".join(f"{name} STRING" for name in ENVELOPE)
     got = spark.read.schema(schema).json(to)
-    got = got.withColumns({"lsn": F.concat(F.lit("0x"), F.upper("lsn")), "error": F.lit(None).cast("string")})
+    got = got.withColumns({"lsn": F.concat(F.lit("0x"), F.upper("lsn")), "error": F.lit("")})
     dead = shown(letters.read(spark), *ENVELOPE, "error")
     return got.unionByName(dead)
 
@@ -668,7 +668,7 @@ def feed_oracle_sql() -> dict[str, str]:
             "GROUP BY table_name)"
         ),
         "cdc_dead_letters": (
-            f"SELECT {envelope_columns}, CASE WHEN seqval LIKE '%00' THEN 'ValueError: refused' END "
+            f"SELECT {envelope_columns}, CASE WHEN seqval LIKE '%00' THEN 'ValueError: refused' ELSE '' END "
             f"AS error FROM ({feed})"
         ),
         "cdc_schema_change": " UNION ALL ".join(
