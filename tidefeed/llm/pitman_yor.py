@@ -559,20 +559,16 @@ def scored_texts(docs: DataFrame, held_out: Column) -> DataFrame:
         return staged(_scores(docs, held_out), "scores", keep=True)
 
 
-def _scores(docs: DataFrame, held_out: Column) -> DataFrame:
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    pair_buckets, word_buckets = 1 + size // PAIR_TEXT, 1 + size // WORD_TEXT
+def _answers(
+    texts: DataFrame, pair_buckets: int, word_buckets: int
+) -> tuple[DataFrame, Room, int, int]:
+    """What the parcels are told; with it the restaurants, and the tokens and words learnt from."""
 
-    def step(job, name: str, *frames: DataFrame) -> DataFrame:
+    def step(job, name: str, *frames: DataFrame, keep: bool = False) -> DataFrame:
         every = frames[0]
         for frame in frames[1:]:
             every = every.unionByName(frame)
-        return staged(every.groupBy("at").applyInArrow(job, MAIL), name, by="kind")
+        return staged(every.groupBy("at").applyInArrow(job, MAIL), name, keep, by="kind")
 
     sent = texts.select("held_out", "text").mapInArrow(_counted(pair_buckets, word_buckets), MAIL)
     counts = step(_gathered(pair_buckets, word_buckets), "counts", sent)
@@ -608,15 +604,29 @@ def _scores(docs: DataFrame, held_out: Column) -> DataFrame:
             states.append(_of(state, STATE).withColumn("other", F.lit(sweep).cast("long")))
             tabled.append(_of(tables, TABLES))
 
-    pairs = step(_pair_answers(room), "pairs", _of(counts, PAIRS, ASKED, MULTI), *tabled)
+    pairs = step(_pair_answers(room), "pairs", _of(counts, PAIRS, ASKED, MULTI), *tabled,
+                 keep=True)
     known = step(
         _word_answers(room, parent, types, samples), "known",
-        _of(counts, WANTED), _of(whole, WORDS), *states,
+        _of(counts, WANTED), _of(whole, WORDS), *states, keep=True,
     )
+    return pairs.unionByName(known), room, train, types
+
+
+def _scores(docs: DataFrame, held_out: Column) -> DataFrame:
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    pair_buckets, word_buckets = 1 + size // PAIR_TEXT, 1 + size // WORD_TEXT
+
+    with scratch(docs.sparkSession):  # the parcels need the answers alone
+        answers, room, train, types = _answers(texts, pair_buckets, word_buckets)
     parcels = texts.mapInArrow(
         _with_parcels, "doc_id long, held_out boolean, text string, parcel long"
     )
-    answers = pairs.unionByName(known)
     found = (
         parcels.groupBy("parcel")
         .cogroup(answers.withColumnRenamed("at", "parcel").groupBy("parcel"))
