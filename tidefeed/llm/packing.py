@@ -11,7 +11,8 @@ Groups are independent, so the number of sequences is that of one packing plus a
 unfilled ones of each group (``GROUP`` pieces make some ten thousand sequences).
 
 Null texts are empty; an empty document is its end id. Rows of one id are packed one by one, and
-identical rows too. A null id stays null. An empty table gives no rows.
+identical rows too. A null id stays null. An empty table gives no rows. Further
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ Only DataFrame functions run here. Lengths, classes and scores are counted in a
 thousand cells, whatever the corpus, and so the rule needs no sort of all runs.
 
 Null and empty texts have no spans. Rows of one id and one text are one document for the tests; every
-row gives a result row.
+row gives a result row. Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ words of ``WORD`` characters at most, and ``KEPT`` bytes of them. Characters wit
 their bytes.
 
 Null texts are empty; empty texts have no ids. Ids decode to the text again, but for what the
-model's own decoder drops: one space at the start. Every row gives a result row.
+model's own decoder drops: one space at the start. Every row gives a result row. Further
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ largest possible bucket has one entry for each document.
 
 Null texts are empty. A null id is later than all others. Rows of one id are not earlier than each
 other, so nothing is removed for a repeated row; every row gives a result row. Texts shorter than
-``LENGTH`` bytes keep everything.
+``LENGTH`` bytes keep everything. Further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ counts there. One that crosses boundaries is allocated by a rule:
 The first three give whole numbers, and all of them add up to the text's tokens.
 
 Null and empty texts have one section without tokens. Every row gives its own result rows, repeated
-ones too; a null id stays null. An empty field is a section without tokens.
+ones too; a null id stays null. An empty field is a section without tokens. Further
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
