@@ -138,6 +138,18 @@ def test_a_replayed_batch_is_read_once(spark, tmp_path, with_positions):
     assert reader.read() == expected + [(i, i, 2) for i in range(6, 10)]
 
 
+def test_a_buckets_names_are_many_rows_of_state(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    feed(spark, numbers(1, 200)).write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    writer = read_once(stream, buckets=1).writeStream.trigger(availableNow=True)
+    writer = writer.option("checkpointLocation", str(tmp_path / "reader"))
+    query = writer.start(str(tmp_path / "read"))
+    query.awaitTermination()
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert kept >= 8 and spark.read.parquet(str(tmp_path / "read")).count() == 200
+
+
 def test_names_are_dropped_below_the_position():
     names = Names()
 

@@ -7,7 +7,9 @@ go. As a position is committed after what it covers, a reader may see it first;
 batch later, when all messages before it have been read. So the reader takes all there is in each
 batch: it has no ``maxFilesPerTrigger``.
 
-A table's messages are dealt out to buckets by a hash, so that one large table is many groups.
+A table's messages are dealt out to buckets by a hash, so that one large table is many groups, and
+a bucket's to ``PAGES`` groups by another part of it. Spark sends a group's state along with every
+10,000 of its rows and sorts all rows of a group in one task, so neither may grow with few buckets.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 NAME = ("lsn", "seqval", "operation")
 # Bytes of an LSN, and of the digest of the rest of a name.
 LSN_BYTES, DIGEST = 10, 8
+# Groups of a bucket. A checkpoint knows its names by group; Spark refuses one from before pages.
+PAGES = 16
 STATE = "names BINARY, position BINARY, coming BINARY"
 
 
@@ -53,20 +57,26 @@ def read_once(
     nested = [f.name for f in messages.schema.fields if isinstance(f.dataType, deep)]
     if nested:
         raise ValueError(f"columns of nested types: {nested}")
-    bucket = F.pmod(F.xxhash64(*NAME), F.lit(buckets)).cast("int")
+    hashed = F.xxhash64(*NAME)
+    group = [
+        F.pmod(hashed, F.lit(buckets)).cast("int").alias("bucket"),
+        F.pmod(F.shiftright(hashed, 32), F.lit(PAGES)).cast("int").alias("page"),
+    ]
     whole = T.StructType(messages.schema.fields)
-    rows = messages.select("table_name", bucket.alias("bucket"), F.struct(*columns).alias("row"))
+    rows = messages.select("table_name", *group, F.struct(*columns).alias("row"))
     rows = rows.withColumn("last_lsn", F.lit(None).cast("binary"))
     if positions is not None:
         every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+        pages = F.explode(F.sequence(F.lit(0), F.lit(PAGES - 1))).alias("page")
         marks = positions.select("table_name", every, "last_lsn")
+        marks = marks.select("table_name", "bucket", pages, "last_lsn")
         rows = rows.unionByName(marks.withColumn("row", F.lit(None).cast(whole)))
     # as text and bytes, which pandas leaves as they are where others are null
     names = [f"m_{i}" for i in range(len(columns))]
     kinds = [f.dataType if f.dataType == T.BinaryType() else T.StringType() for f in whole.fields]
     carried = [F.col(f"row.`{c}`").cast(k).alias(n) for c, k, n in zip(columns, kinds, names)]
     flat = rows.select(
-        "table_name", "bucket", "last_lsn", F.col("row").isNotNull().alias("is_row"), *carried
+        "table_name", "bucket", "page", "last_lsn", F.col("row").isNotNull().alias("is_row"), *carried
     )
     at = {name: f"m_{columns.index(name)}" for name in NAME}
     out_schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
@@ -86,7 +96,7 @@ def read_once(
         seen.drop(position)
         state.update((seen.packed(), position, coming))
 
-    once = flat.groupBy("table_name", "bucket").applyInPandasWithState(
+    once = flat.groupBy("table_name", "bucket", "page").applyInPandasWithState(
         run, out_schema, STATE, "append", GroupStateTimeout.NoTimeout
     )
     return once.select(*[F.col(n).cast(f.dataType).alias(f.name) for n, f in zip(names, whole.fields)])
@@ -112,17 +122,20 @@ class Names:
             rest = repr((len(lsn), None if seqval is None else bytes(seqval), str(operation)))
             digest = hashlib.blake2b(rest.encode(), digest_size=DIGEST).digest()
             made.append(lsn.rjust(LSN_BYTES, b"\0")[-LSN_BYTES:] + digest)
-        names = np.frombuffer(b"".join(made), f"V{LSN_BYTES + DIGEST}")
-        _, first = np.unique(names, return_index=True)
-        new = np.zeros(len(names), bool)
-        new[first] = True
-        new &= ~np.isin(names, self.rows)
-        self.rows = np.sort(np.concatenate([self.rows, names[new]]))
+        names, first = np.unique(
+            np.frombuffer(b"".join(made), f"V{LSN_BYTES + DIGEST}"), return_index=True
+        )
+        at = np.searchsorted(self.rows, names)
+        fresh = np.append(self.rows, names[:1])[at] != names if len(names) else np.zeros(0, bool)
+        fresh |= at == len(self.rows)
+        self.rows = np.insert(self.rows, at[fresh], names[fresh])
+        new = np.zeros(len(made), bool)
+        new[first[fresh]] = True
         return new
 
     def drop(self, position: bytes) -> None:
         """Forget what is not past a position."""
         if position and len(self.rows):
-            lsns = self.rows.view(np.uint8).reshape(len(self.rows), -1)[:, :LSN_BYTES]
-            limit = np.frombuffer(position.rjust(LSN_BYTES, b"\0")[-LSN_BYTES:], np.uint8)
-            self.rows = self.rows[[bytes(x) > bytes(limit) for x in lsns]]
+            last = position.rjust(LSN_BYTES, b"\0")[-LSN_BYTES:] + b"\xff" * DIGEST
+            last = np.frombuffer(last, self.rows.dtype)
+            self.rows = self.rows[int(np.searchsorted(self.rows, last, "right")[0]) :]
