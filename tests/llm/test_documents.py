@@ -401,6 +401,28 @@ def test_sentencepiece_round_trip(docs):
     assert sorted((bytes(r.ids), r.text) for r in got) == want
 
 
+def test_sentencepiece_sorts_words_in_portions(monkeypatch):
+    """New words are matched a bounded number of bytes at a time, in one worker of a task."""
+    monkeypatch.setattr(sentencepiece_codec, "SORTED", 2000)
+    sizes = []
+    learn = Codec._learn
+    monkeypatch.setattr(
+        Codec, "_learn", lambda self, short: sizes.append(sum(len(w.encode()) + 1 for w in short)) or learn(self, short)
+    )
+    model = sentencepiece.SentencePieceProcessor(model_file=default_file())
+    texts = [" ".join(f"word{i}é" for i in range(k, 3000, 7)) for k in range(7)] + ["x" * 5000, "", " "]
+    got = Codec(default_file()).encode(texts)
+    assert got == [np.array(model.encode(t), np.uint32).tobytes() for t in texts]
+    assert len(sizes) > 10 and sorted(sizes)[-2] <= 2000
+
+
+def test_sentencepiece_round_trip_in_one_worker(docs):
+    got = sentencepiece_codec.round_trip(docs(ODD))
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = decoded(encoded(docs(ODD))).collect()
+    assert sorted((bytes(r.ids), r.text) for r in got.collect()) == sorted((bytes(r.ids), r.text) for r in want)
+
+
 def test_sentencepiece_on_a_test_table(spark, sf_dir):
     """The query, every row of a table, against the model's own encoder."""
     model = sentencepiece.SentencePieceProcessor(model_file=default_file())

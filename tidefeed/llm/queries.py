@@ -11,7 +11,7 @@ from tidefeed.llm.packing import pack_documents
 from tidefeed.llm.pitman_yor import scored_texts
 from tidefeed.llm.prefix_trie import restarted_trie
 from tidefeed.llm.secret_scan import KINDS, secrets, written
-from tidefeed.llm.sentencepiece_codec import decoded, encoded
+from tidefeed.llm.sentencepiece_codec import round_trip
 from tidefeed.llm.shared import table
 from tidefeed.llm.source_audit import source_divergence
 from tidefeed.llm.suffix_dedup import without_repeats
@@ -91,7 +91,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text's ids, as a digest, and the text that they decode to, as a digest."""
-    rows = decoded(encoded(table(spark, sf_dir, "documents")))
+    rows = round_trip(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_ids"),

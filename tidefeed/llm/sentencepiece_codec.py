@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -42,6 +42,8 @@ from tidefeed.llm.shared import chunks, utf8
 KEPT, ENTRY, WORD = 64 << 20, 200, 64
 #: Bytes of text that are matched together: looking up all pieces pays from about this size.
 BATCH = 4 << 20
+#: Bytes of new words whose suffixes are sorted together, which bounds a worker's memory.
+SORTED = 1 << 20
 #: Characters of a stretch from which it has a heap of its edges.
 LONG = 48
 SPACE = "▁"
@@ -69,6 +71,7 @@ class _Suffixes:
             key = (key << np.uint64(8)) | codes[i : i + n]
         order = np.argsort(key)
         self.first = key[order]
+        del key
         new = _new(self.first)
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
@@ -166,6 +169,20 @@ def _new(values: np.ndarray) -> np.ndarray:
     return np.append(True, values[1:] != values[:-1]) if len(values) else np.zeros(0, bool)
 
 
+def _portions(words: Iterable[str]) -> Iterator[list[str]]:
+    """The words in lists of ``SORTED`` bytes, or of one longer word; a character has four at most."""
+    held, size = [], 0
+    for word in words:
+        more = len(word) + 1 if word.isascii() else 4 * len(word) + 1
+        if held and size + more > SORTED:
+            yield held
+            held, size = [], 0
+        held.append(word)
+        size += more
+    if held:
+        yield held
+
+
 class Codec:
     def __init__(self, file: str):
         model = sentencepiece.SentencePieceProcessor(model_file=file)
@@ -246,8 +263,10 @@ class Codec:
         piece, start = _Suffixes(data, self.longest).occurrences(self.pieces)
         length = np.array([len(p) for p in self.pieces], np.int64)
         edge = start.astype(np.int64) * 64 + length[piece] - 1
+        del start
         order = np.argsort(edge)
         edge, piece = edge[order], piece[order]
+        del order
 
         def edges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             """The piece of each span a to b, or -1."""
@@ -319,7 +338,9 @@ class Codec:
         parts = [self.words(t) for t in texts]
         words = set().union(*parts)
         new = words - self.kept.keys()
-        found = self._learn(list(new)) if new else {}
+        found = {}
+        for portion in _portions(new):
+            found |= self._learn(portion)
         short = [w for w in found if len(w) <= WORD]
         size = self._size(short, found)
         if self.size + size > KEPT:
@@ -370,6 +391,8 @@ def _encode(file: str):
 
 
 def _decode(file: str):
+    """Each batch gives one, so that it can follow ``_encode`` in the same worker."""
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [codec(file).decode(x or b"") for x in batch.column("ids").to_pylist()]
@@ -395,3 +418,18 @@ def decoded(rows: DataFrame, id: str = "doc_id", file: str | None = None) -> Dat
     named = rows.select(F.col(id).alias("id"), "ids")
     out = named.mapInArrow(_decode(file or default_file()), "id long, ids binary, text string")
     return out.withColumnRenamed("id", id)
+
+
+def round_trip(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", file: str | None = None
+) -> DataFrame:
+    """(id, ids, text) of each row, as ``decoded`` gives of ``encoded``.
+
+    One Python worker of a task does both. Two would both keep words in the end, as Spark gives an
+    idle worker either part.
+    """
+    file = file or default_file()
+    encode, decode = _encode(file), _decode(file)
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    out = rows.mapInArrow(lambda batches: decode(encode(batches)), "id long, ids binary, text string")
+    return out.withColumnRenamed("id", id)
