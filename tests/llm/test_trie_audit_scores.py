@@ -291,3 +291,21 @@ def test_seating_follows_the_restaurant():
         error = 5 * np.std(slow) / math.sqrt(trials)
         assert abs(np.mean(fast) - np.mean(slow)) < error
         assert abs(np.std(fast) - np.std(slow)) < 0.1 * np.std(slow) + 0.02
+
+
+def test_mail_travels_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(py, "POSTED", 4000)
+    draw = np.random.default_rng(0)
+    rows = [
+        {"at": i, "kind": py.SENT, "x": draw.integers(0, 9, 300), "gaps": draw.integers(0, 9, 20).astype(np.int32)}
+        for i in range(50)
+    ]
+    rows[7]["x"] = draw.integers(0, 9, 2000)  # longer than a batch
+    batches = list(py._batches(rows))
+    assert len(batches) > 25
+    assert sum(b.nbytes > 6000 for b in batches) == 1
+    got = pa.Table.from_batches(batches)
+    assert got.column("at").to_pylist() == list(range(50))
+    for row, x, gaps in zip(rows, got.column("x"), got.column("gaps"), strict=True):
+        assert x.as_py() == row["x"].tolist() and gaps.as_py() == row["gaps"].tolist()
+    assert py._mail([]).num_rows == 0

@@ -55,8 +55,10 @@ STRENGTH = 1.0
 #: together then, and draws at a time.
 ALONE, RUN, DRAWN = 32, 1 / 16, 1 << 20
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-#: Bits of a word's name that pairs do without, and tokens that are scored at a time.
+#: Bits of a word's name that pairs do without, and tokens that are scored at a time (whole texts).
 SHORT, SCORED = np.uint64(16), 1 << 18
+#: Bytes of mail in a batch; a longer row is one by itself.
+POSTED = 4 << 20
 
 MAIL = (
     "at long, kind int, other long, x array<long>, y array<long>, z array<long>, "
@@ -69,7 +71,19 @@ STATE, ANSWER, TABLES, TALLY = range(8, 12)
 
 
 def _mail(rows: list[dict]) -> pa.Table:
-    """Mail from rows whose missing fields are null."""
+    """Mail from rows whose missing fields are null, in chunks, each of which travels by itself."""
+    parts, size = [[]], 0
+    for row in rows:
+        more = sum(v.nbytes for v in row.values() if isinstance(v, np.ndarray))
+        if parts[-1] and size + more > POSTED:
+            parts.append([])
+            size = 0
+        parts[-1].append(row)
+        size += more
+    return pa.concat_tables([_posted(part) for part in parts])
+
+
+def _posted(rows: list[dict]) -> pa.Table:
     kinds = {
         "at": pa.int64(), "kind": pa.int32(), "other": pa.int64(),
         "x": pa.list_(pa.int64()), "y": pa.list_(pa.int64()), "z": pa.list_(pa.int64()),
@@ -90,7 +104,7 @@ def _mail(rows: list[dict]) -> pa.Table:
 
 
 def _batches(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    yield from _mail(rows).combine_chunks().to_batches()
+    yield from _mail(rows).to_batches()
 
 
 class _Box:
@@ -134,10 +148,14 @@ def _merged(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(names)
     of = names[order]
     new = np.ones(len(of), bool)
-    new[1:] = of[1:] != of[:-1]
-    number = np.empty(len(of), np.int32)
-    number[order] = np.cumsum(new, dtype=np.int32) - 1
-    return of[new], order[new], number
+    np.not_equal(of[1:], of[:-1], out=new[1:])
+    distinct, places = of[new], order[new]
+    del of
+    place = np.cumsum(new, dtype=np.int32)
+    place -= 1
+    number = np.empty(len(place), np.int32)
+    number[order] = place
+    return distinct, places, number
 
 
 # Parcels
@@ -173,12 +191,14 @@ class _Tokens:
                 part = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 hashes.append(part[0])
                 counts.append(part[1])
+                del part
+        hashes = np.concatenate(hashes)
         self.counts = np.concatenate(counts) + 1  # the end is a token
         ends = np.cumsum(self.counts)
         after = np.full(int(ends[-1]) + 1, END, np.uint64)
         inside = np.ones(len(after), bool)
         inside[ends - 1] = inside[-1] = False
-        after[inside] = np.concatenate(hashes)
+        after[inside] = hashes
         after[-1] = START
         del hashes, inside
         self.words, _, word = _merged(after)
@@ -188,9 +208,16 @@ class _Tokens:
         context = np.empty(len(self.word), np.uint64)
         context[1:] = after[:-2]
         context[self.starts] = START >> SHORT
-        after = after[:-1]
-        self.pairs, at, self.pair = _merged(pair_names(context, after))
-        self.contexts, self.after = context[at], after[at]
+        names = pair_names(context, after[:-1])
+        del context, after
+        self.pairs, self.at, self.pair = _merged(names)
+
+    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+        """The shortened names of each pair's context and word."""
+        short = self.words >> SHORT
+        before = np.append(self.start, self.word[:-1])
+        before[self.starts] = self.start
+        return short[before[self.at]], short[self.word[self.at]]
 
 
 def _counted(pair_buckets: int, word_buckets: int):
@@ -202,8 +229,9 @@ def _counted(pair_buckets: int, word_buckets: int):
         word_often = np.bincount(t.word[learnt], minlength=len(t.words))
         word_often[t.start] = (~held.astype(bool)).sum()  # texts that begin
         # two names of 48 bits in 64 and 32
-        both = ((t.contexts << np.uint64(16)) | (t.after >> np.uint64(32))).view(np.int64)
-        low = (t.after & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        contexts, after = t.sides()
+        both = ((contexts << np.uint64(16)) | (after >> np.uint64(32))).view(np.int64)
+        low = (after & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         rows = []
         for at, a, b in _runs(bucket_of(t.pairs, pair_buckets)):
             rows.append({"at": at, "kind": SENT, "other": parcel, "x": both[a:b],
@@ -500,7 +528,8 @@ def _scored(room: Room, n: int, types: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(docs):
             raise ValueError("answers for a parcel that is not there")
-        t = _Tokens([docs.column("text").combine_chunks()])
+        t = _Tokens(docs.column("text").chunks)
+        del t.at  # only buckets want it
         box = _Box(answers)
         worth = np.concatenate(box.lists(PAIRS, "f"))
         counts = np.concatenate(box.lists(WORDS, "x"))
@@ -509,17 +538,19 @@ def _scored(room: Room, n: int, types: int):
         ).astype(np.float64)
         if len(worth) != len(t.pairs) or len(counts) != len(t.words):
             raise ValueError("the documents came in other partitions when read again")
-        scores = np.zeros((3, len(t.word)))
-        for a in range(0, len(t.word), SCORED):
-            word, pair = t.word[a : a + SCORED], t.pair[a : a + SCORED]
-            before = np.append(t.word[a - 1] if a else t.start, word[:-1])
-            low, high = np.searchsorted(t.starts, (a, a + len(word)))
-            before[t.starts[low:high] - a] = t.start
+        sums = []
+        for first, last in chunks(np.append(t.starts, len(t.word)), SCORED):
+            a = t.starts[first]
+            b = a + t.counts[first:last].sum()
+            word, pair = t.word[a:b], t.pair[a:b]
+            before = np.append(t.start, word[:-1])
+            before[t.starts[first:last] - a] = t.start
             left = sum(values[i + 1][before] * values[i][word] for i in range(0, 2 * SAMPLES, 2))
             p = (worth[pair] + left / SAMPLES) / (room.strength + counts[before])
             known = counts[word]
-            scores[:, a : a + len(word)] = known > 0, np.log10((known + 1) / (n + types + 1)), np.log10(p)
-        known, base, score = np.add.reduceat(scores, t.starts, axis=1)
+            scores = np.array([known > 0, np.log10((known + 1) / (n + types + 1)), np.log10(p)])
+            sums.append(np.add.reduceat(scores, t.starts[first:last] - a, axis=1))
+        known, base, score = np.concatenate(sums, axis=1)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
